@@ -144,8 +144,10 @@ def quantile_bin(df: DataFrame, columns: Mapping[str, str], n: int = 10,
     enter the plan as scalar subqueries.
     """
     edges = quantile_edges(df, list(columns), n, digits)
+    # values and edges become columns first: a bin compares them n + 1 times
     held = {f"_edges_{c}": edges.select(c).scalar() for c in columns}
-    bins = {out: bin_of(F.round(c, digits), f"_edges_{c}", n) for c, out in columns.items()}
+    held |= {f"_value_{c}": F.round(c, digits) for c in columns}
+    bins = {out: bin_of(f"_value_{c}", f"_edges_{c}", n) for c, out in columns.items()}
     return df.withColumns(held).withColumns(bins).drop(*held)
 
 

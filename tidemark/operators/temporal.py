@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tidemark.contract import (CALL_FLAGS, CALL_TYPE_WINDOW, CALL_WINDOWS, ENTITY, HORIZONS,
                                OBSERVED, label_name)
@@ -25,30 +26,22 @@ _DAY = "_day"
 _IS_SPINE = "_is_spine"
 
 
-@dataclass(frozen=True)
 class Frames:
     """Window frames around the day of a spine row, for one entity."""
 
-    entity: str
+    def __init__(self, entity: str) -> None:
+        self._by_day = Window.partitionBy(entity).orderBy(_DAY)
 
-    def before(self, days: int):
+    def before(self, days: int) -> WindowSpec:
         """The ``days`` days before the row, its own day left out."""
-        return self._by_day().rangeBetween(-days, -1)
+        return self._by_day.rangeBetween(-days, -1)
 
-    def ever_before(self):
-        return self._by_day().rangeBetween(Window.unboundedPreceding, -1)
+    def ever_before(self) -> WindowSpec:
+        return self._by_day.rangeBetween(Window.unboundedPreceding, -1)
 
-    def within(self, days: int):
+    def within(self, days: int) -> WindowSpec:
         """``days`` days starting with the row's own day."""
-        return self._by_day().rangeBetween(0, days - 1)
-
-    def from_day_on(self):
-        # descending order makes this a growing frame, which Spark fills in one pass
-        return (Window.partitionBy(self.entity).orderBy(F.col(_DAY).desc())
-                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-
-    def _by_day(self):
-        return Window.partitionBy(self.entity).orderBy(_DAY)
+        return self._by_day.rangeBetween(0, days - 1)
 
 
 @dataclass(frozen=True)
@@ -131,8 +124,9 @@ def cease_view(ceases: DataFrame, date: str = "cease_placed_date", entity: str =
                labels: bool = True) -> EventView:
     """Count and recency of earlier events, and 0/1 labels for the horizons ahead.
 
-    A label needs only the next event on or after the observation, so one frame
-    serves all horizons: the event falls in ``[observation, observation + h)``.
+    A label needs only the next event on or after the observation, so one frame,
+    as wide as the longest horizon, serves all of them: the event falls in
+    ``[observation, observation + h)``.
     """
     def features(frames: Frames, day: Column) -> dict[str, Column]:
         happened = F.when(F.col("_ceases").isNotNull(), day)
@@ -142,7 +136,7 @@ def cease_view(ceases: DataFrame, date: str = "cease_placed_date", entity: str =
             out["prior_cease_count"] = F.coalesce(F.sum("_ceases").over(past), F.lit(0))
             out["days_since_last_cease"] = day - F.max(happened).over(past)
         if labels:
-            wait = F.min(happened).over(frames.from_day_on()) - day
+            wait = F.min(happened).over(frames.within(max(horizons))) - day
             out |= {label_name(h): flag(wait < h) for h in horizons}
         return out
 

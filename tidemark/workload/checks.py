@@ -10,6 +10,7 @@ from tidemark.functions import risk as R
 from tidemark.operators import evaluation, monitor, quality, requests, temporal
 from tidemark.sources import given
 from tidemark.workload import inputs
+from tidemark.workload.ctes import ALARMING
 from tidemark.workload.registry import query, rounded, stamped
 
 ID = "unique_customer_identifier"
@@ -369,19 +370,19 @@ def _(spark, d):
                                                 _PSI_FEATURES), 6, "psi")
 
 
+# in millionths: whole numbers have exact sums, so both engines divide the same two numbers
 @query("mon_profile_scores", " UNION ALL ".join(
     f"""SELECT date_trunc('month', score_date)::DATE AS month, {k} AS slice_key, {v} AS slice_value,
-    'churn_prob_{h}d' AS feature, count(p) AS count, 0.0::DOUBLE AS null_rate, round(avg(p), 10) AS mean,
-    round(stddev_samp(p), 8) AS std, min(p) AS min, quantile_disc(p, 0.25) AS p25,
+    'churn_prob_{h}d' AS feature, count(p) AS count, 0.0::DOUBLE AS null_rate, round(avg(p), 4) AS mean,
+    round(stddev_samp(p), 3) AS std, min(p) AS min, quantile_disc(p, 0.25) AS p25,
     quantile_disc(p, 0.5) AS median, quantile_disc(p, 0.75) AS p75, max(p) AS max
-    FROM (SELECT *, churn_prob_{h}d AS p FROM tiered) GROUP BY 1, 2, 3"""
+    FROM (SELECT *, round(churn_prob_{h}d * 1000000) AS p FROM tiered) GROUP BY 1, 2, 3"""
     for h in HORIZONS for k, v in (("'all'", "'all'"), ("'risk_tier'", "risk_tier"))))
 def _(spark, d):
-    tiered = inputs.scored(spark, d).withColumns(
-        {"risk_tier": R.risk_tier(), "score_date": F.col(OBSERVED)})
-    out = monitor.feature_profile(tiered, [f"churn_prob_{h}d" for h in HORIZONS],
-                                  slices=("risk_tier",), date="score_date")
-    return rounded(rounded(out, 10, "mean"), 8, "std")
+    names = [f"churn_prob_{h}d" for h in HORIZONS]
+    tiered = _runs(spark, d).withColumns({n: F.round(F.col(n) * 1000000) for n in names})
+    out = monitor.feature_profile(tiered, names, slices=("risk_tier",), date="score_date")
+    return rounded(rounded(out, 4, "mean"), 3, "std")
 
 
 _NULLABLE = ("avg_talk_time", "max_hold_time", "days_since_last_call", "days_since_last_cease")
@@ -405,17 +406,17 @@ def _(spark, d):
                    6, "baseline_rate", "current_rate")
 
 
-def _moments(where):
+def _moments(where, block):
     return ("SELECT count(*) AS n, count(*) FILTER (WHERE risk_tier = 'RED') / count(*) AS red, "
             "count(*) FILTER (WHERE risk_tier = 'GREEN') / count(*) AS green, " + ", ".join(
                 f"avg(churn_prob_{h}d) AS m{h}, stddev_samp(churn_prob_{h}d) AS s{h}" for h in HORIZONS)
-            + f" FROM tiered WHERE {where}")
+            + f" FROM {block} WHERE {where}")
 
 
 _NOW = f"score_date >= DATE '{given.VALIDATION_END}'"
 _THEN = "score_date < DATE '1996-01-01'"
 _ALERTS = f"""
-WITH m AS ({_moments(_NOW)}), b AS ({_moments(_THEN)})
+WITH m AS ({_moments(_NOW, "alarming_tiered")}), b AS ({_moments(_THEN, "tiered")})
 SELECT code, CAST(horizon AS INTEGER) AS horizon, round(value, 6) AS value, message FROM (
 {' UNION ALL '.join(f'''
   SELECT 'mean_too_high' AS code, {h} AS horizon, m{h} AS value, m{h} > 0.5 AS fires,
@@ -430,14 +431,18 @@ SELECT code, CAST(horizon AS INTEGER) AS horizon, round(value, 6) AS value, mess
          printf('%.1f%% of customers in GREEN tier', green * 100) FROM m) WHERE fires"""
 
 
-def _alerts(spark, d):
-    tiered = inputs.scored(spark, d).withColumns(
+def _runs(spark, d, shift=0.0):
+    return inputs.scored(spark, d, shift).withColumns(
         {"risk_tier": R.risk_tier(), "score_date": F.col(OBSERVED)})
-    then = tiered.where(F.col("score_date") < F.lit("1996-01-01").cast("date"))
+
+
+def _alerts(spark, d):
+    then = _runs(spark, d).where(F.col("score_date") < F.lit("1996-01-01").cast("date"))
     means = then.agg(F.array(*[F.struct(F.lit(h).alias("horizon"),
                                         F.avg(f"churn_prob_{h}d").alias("mean_probability"))
                                for h in HORIZONS]).alias("_m")).select(F.inline("_m"))
-    now = tiered.where(F.col("score_date") >= F.lit(given.VALIDATION_END).cast("date"))
+    now = _runs(spark, d, ALARMING).where(
+        F.col("score_date") >= F.lit(given.VALIDATION_END).cast("date"))
     return rounded(monitor.score_alerts(now, means), 6, "value")
 
 
@@ -447,7 +452,7 @@ def _(spark, d):
 
 
 @query("mon_retrain_flag", f"""
-WITH m AS ({_moments(_NOW)}), b AS ({_moments(_THEN)}),
+WITH m AS ({_moments(_NOW, "alarming_tiered")}), b AS ({_moments(_THEN, "tiered")}),
 f AS (SELECT unnest([{', '.join([f'm.m{h} > 0.5, m.s{h} < 0.05, abs(m.m{h} / b.m{h} - 1) > 0.2' for h in HORIZONS] + ['m.red > 0.3', 'm.green > 0.95'])}]) AS x FROM m, b)
 SELECT count(*) FILTER (WHERE x) > 0 AS retrain_needed, count(*) FILTER (WHERE x) AS alerts FROM f""")
 def _(spark, d):

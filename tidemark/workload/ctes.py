@@ -176,9 +176,9 @@ def _probability(b, ws) -> str:
     return f"round(1.0 / (1.0 + exp(-({z}))), 6)"
 
 
-def _scored() -> str:
+def _scored(shift: float = 0.0) -> str:
     from tidemark.plans.scoring import SCORECARD
-    parts = [f"{_probability(b, ws)} AS churn_prob_{h}d" for h, (b, ws) in SCORECARD.items()]
+    parts = [f"{_probability(b + shift, ws)} AS churn_prob_{h}d" for h, (b, ws) in SCORECARD.items()]
     return ("""
 SELECT i.unique_customer_identifier, i.datevalue AS observation_date, technology, sales_channel,
        contract_status_ord, speed_gap_pct, tenure_days, calls_90d, complaint_calls_90d,
@@ -191,10 +191,13 @@ JOIN cease_history h ON i.unique_customer_identifier = h.unique_customer_identif
 
 
 BLOCKS["scored"] = _scored()
+ALARMING = 1.5          # added to every intercept, a run that sets off alerts
+BLOCKS["alarming"] = _scored(ALARMING)
 
 TIER = """CASE WHEN churn_prob_30d > 0.5 THEN 'RED' WHEN churn_prob_60d > 0.5 THEN 'AMBER'
      WHEN churn_prob_90d > 0.5 THEN 'YELLOW' ELSE 'GREEN' END"""
 
+BLOCKS["alarming_tiered"] = f"SELECT *, observation_date AS score_date, {TIER} AS risk_tier FROM alarming"
 BLOCKS["tiered"] = f"SELECT *, observation_date AS score_date, {TIER} AS risk_tier FROM scored"
 
 _EDGES = ", ".join(

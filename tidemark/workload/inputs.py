@@ -9,7 +9,7 @@ from tidemark.contract import ENTITY, OBSERVED
 from tidemark.operators.rollup import monthly_rollup
 from tidemark.operators.temporal import (call_view, cease_view, observation_spine, point_in_time)
 from tidemark.plans.cleaning import clean_calls, clean_cease, clean_customer_info, clean_usage
-from tidemark.plans.scoring import score_table, scorecard_probabilities
+from tidemark.plans.scoring import SCORECARD, score_table, scorecard_probabilities
 from tidemark.sources import given
 
 
@@ -48,9 +48,10 @@ def _scoring_features(spark, d, labels: bool) -> DataFrame:
                          cease_view(given.cease_days(spark, d), labels=labels))
 
 
-def scored(spark, d) -> DataFrame:
-    """Scorecard probabilities for every observation."""
-    return scorecard_probabilities(_scoring_features(spark, d, labels=False))
+def scored(spark, d, shift: float = 0.0) -> DataFrame:
+    """Scorecard probabilities for every observation; ``shift`` moves all intercepts."""
+    card = {h: (intercept + shift, weights) for h, (intercept, weights) in SCORECARD.items()}
+    return scorecard_probabilities(_scoring_features(spark, d, labels=False), card)
 
 
 def judged(spark, d) -> DataFrame:

@@ -101,7 +101,7 @@ def _(spark, d):
 def _(spark, d):
     return _plain(feature_table(
         inputs.customer_info(spark, d), inputs.calls(spark, d), given.cease_days(spark, d),
-        inputs.usage_monthly(spark, d)))
+        inputs.usage_monthly(spark, d), unique=True))
 
 
 @query("jon_wide_chain", f"""
@@ -129,7 +129,7 @@ FROM features f JOIN horizon_labels l ON f.{ID} = l.{ID} AND f.observation_date
 def _(spark, d):
     return _plain(training_set(
         inputs.customer_info(spark, d), inputs.calls(spark, d), given.cease_days(spark, d),
-        inputs.usage_monthly(spark, d), given.TRAIN_END, given.VALIDATION_END))
+        inputs.usage_monthly(spark, d), given.TRAIN_END, given.VALIDATION_END, unique=True))
 
 
 @query("jon_features_labels", f"""
