@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,20 @@ def read_table(spark: SparkSession, base: str, layer: str, name: str, env: str =
     return spark.table(f"{database(base, layer, env)}.{name}")
 
 
+@contextmanager
+def _session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting for the time of one write: inserts into tables take it from the session only."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
                 mode: str = "overwrite", fmt: str = "parquet") -> int:
     """Write a table and return the rows written, counted by the write itself.
@@ -42,8 +57,8 @@ def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
     counter = Observation()
     counted = df.observe(counter, F.count("*").alias("rows"))
     if mode == "refresh":
-        (counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .insertInto(name))
+        with _session_setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            counted.select(*df.sparkSession.table(name).columns).write.insertInto(name, overwrite=True)
     else:
         writer = counted.write.mode(mode).format(fmt)
         if partition_by:
