@@ -79,6 +79,14 @@ def ranking_metrics(hist: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.try_divide(F.sum(F.col("score") * (pos + neg)), P + N).alias("predicted_churn_rate"))
 
 
+def compare_horizons(metrics: DataFrame, splits: Sequence[str] = ("validation", "test")
+                     ) -> DataFrame:
+    """Metrics per (split, horizon) side by side: one row per horizon."""
+    return metrics.groupBy("horizon").agg(*[
+        F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{s}_{m}")
+        for s in splits for m in ("auc_roc", "auc_pr")])
+
+
 def binned(hist: DataFrame, bins: int = 10) -> DataFrame:
     """The histogram with its quantile bin. Edges: one array per horizon, broadcast."""
     grid = F.array(*[F.lit(i / bins) for i in range(bins + 1)])

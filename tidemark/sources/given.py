@@ -76,7 +76,7 @@ def raw_usage(spark: SparkSession, folder: str) -> DataFrame:
                   F.sum(F.floor("l_extendedprice")).cast("bigint").alias("x")))
     return daily.select(
         F.col("o_custkey").cast("string").alias(ENTITY), _text_date("d").alias("calendar_date"),
-        F.when(F.col("q") % 97 == 0, "n/a")
+        F.when(F.col("q") % 47 == 0, "n/a")
         .otherwise(F.concat((F.col("q") * 10).cast("string"), F.lit(".5")))
         .alias("usage_download_mbs"),
         F.col("x").cast("string").alias("usage_upload_mbs"))

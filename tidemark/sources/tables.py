@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.contract import ACTION_LISTS, ENTITY, OBSERVED
 from tidemark.operators.actions import action_list
 from tidemark.operators.quality import key_violations
+from tidemark.session import fresh_folder
 
 LAYERS = ("bronze", "silver", "gold", "ml")
 
@@ -67,6 +68,17 @@ def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
     return counter.get["rows"]
 
 
+def materialise(df: DataFrame, label: str = "shared") -> DataFrame:
+    """Write a frame that several jobs or subqueries read, and return it as a scan.
+
+    The files lie in the shared folder of the session, so the result outlives
+    lost executors and nothing before it is computed again.
+    """
+    folder = fresh_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def publish_features(df: DataFrame, name: str, keys: Sequence[str] = (ENTITY, OBSERVED)) -> int:
     """Write a feature table whose keys are unique and set, or fail before it is replaced."""
     broken = key_violations(df, keys).limit(1).count()

@@ -10,6 +10,7 @@ from tidemark.functions import risk as R
 from tidemark.operators import actions, evaluation, monitor, profile, quantiles, temporal
 from tidemark.plans.cleaning import clean_calls
 from tidemark.sources import given
+from tidemark.sources.tables import materialise
 from tidemark.workload import inputs
 from tidemark.workload.registry import query, rounded
 
@@ -152,7 +153,8 @@ def _(spark, d):
     round(quantile_cont({c}, 0.5), 4) AS p50, round(quantile_cont({c}, 0.75), 4) AS p75,
     max({c}) AS max FROM usage_daily""" for c in ("usage_download_mbs", "usage_upload_mbs")))
 def _(spark, d):
-    out = profile.summary(inputs.usage_daily(spark, d), ["usage_download_mbs", "usage_upload_mbs"])
+    columns = ["usage_download_mbs", "usage_upload_mbs"]
+    out = profile.summary(materialise(inputs.usage_daily(spark, d).select(*columns)), columns)
     return rounded(rounded(out, 4, "mean", "p25", "p50", "p75"), 3, "stddev")
 
 

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from tidemark import contract
 from tidemark.contract import ENTITY, HORIZONS, OBSERVED
 from tidemark.functions import risk as R
+from tidemark.functions.columns import split_label
 from tidemark.operators import evaluation, monitor, quality, requests, temporal
+from tidemark.plans import training
 from tidemark.sources import given
+from tidemark.sources.tables import materialise
 from tidemark.workload import inputs
 from tidemark.workload.ctes import ALARMING
 from tidemark.workload.registry import query, rounded, stamped
@@ -240,7 +243,7 @@ def _(spark, d):
 
 def _versions(spark, d):
     """A version log from the data: quality per horizon on the train and validation stretches."""
-    judged = inputs.judged(spark, d)
+    judged = materialise(inputs.judged(spark, d))
     early = judged.where(F.col(OBSERVED) < F.lit(given.TRAIN_END).cast("date"))
     late = judged.where((F.col(OBSERVED) >= F.lit(given.TRAIN_END).cast("date")) & (F.col("contract_status_ord") > 1))
 
@@ -299,6 +302,27 @@ def _(spark, d):
                    6, "relative_drop")
 
 
+_SPLIT = (f"CASE WHEN observation_date < DATE '{given.TRAIN_END}' THEN 'train' "
+          f"WHEN observation_date < DATE '{given.VALIDATION_END}' THEN 'validation' ELSE 'test' END")
+
+
+@query("ml_horizon_comparison", f"""
+SELECT horizon, {', '.join(f"max({m}) FILTER (WHERE split = '{s}') AS {s}_{m}" for s in ('validation', 'test') for m in ('auc_roc', 'auc_pr'))}
+FROM (SELECT split, horizon, round(sum(neg * (tp - pos / 2.0::DOUBLE)) / (max(p) * max(n)), 6) AS auc_roc,
+             round(sum(pos * tp / (tp + fp)) / max(p), 6) AS auc_pr
+  FROM (SELECT *, CAST(sum(pos) OVER w AS DOUBLE) AS tp, CAST(sum(neg) OVER w AS DOUBLE) AS fp,
+         CAST(sum(pos) OVER (PARTITION BY split, horizon) AS DOUBLE) AS p,
+         CAST(sum(neg) OVER (PARTITION BY split, horizon) AS DOUBLE) AS n
+        FROM (SELECT {_SPLIT} AS split, horizon, score, sum(y) AS pos, sum(1 - y) AS neg
+              FROM long_judged GROUP BY 1, 2, 3)
+        WINDOW w AS (PARTITION BY split, horizon ORDER BY score DESC)) GROUP BY 1, 2) GROUP BY 1""")
+def _(spark, d):
+    judged = inputs.judged(spark, d).withColumn(
+        "split", split_label(OBSERVED, given.TRAIN_END, given.VALIDATION_END))
+    out = rounded(training.evaluate(judged), 6, "auc_roc", "auc_pr")
+    return evaluation.compare_horizons(out)
+
+
 _RETRO = """
 SELECT observation_date AS score_date, horizon,
        round(sum(neg * (tp - pos / 2.0::DOUBLE)) / nullif(max(p) * max(n), 0), 6) AS auc_roc,
@@ -360,10 +384,11 @@ SELECT feature, round(psi, 6) AS psi, psi > 0.2 AS drifted FROM (
   {' UNION ALL '.join(_psi_sql(f) for f in _PSI_FEATURES)})""")
 def _(spark, d):
     from tidemark.operators.temporal import call_view, cease_view, point_in_time
-    rows = point_in_time(
+    rows = materialise(point_in_time(
         inputs.customer_info(spark, d).select(ENTITY, F.col("datevalue").alias(OBSERVED),
                                               "tenure_days", "speed"),
         call_view(inputs.calls(spark, d)), cease_view(given.cease_days(spark, d), labels=False))
+        .select(OBSERVED, *_PSI_FEATURES))
     cut = F.lit(_CUT).cast("date")
     return rounded(monitor.population_stability(rows.where(F.col(OBSERVED) < cut),
                                                 rows.where(F.col(OBSERVED) >= cut),
@@ -398,8 +423,10 @@ _NULLABLE = ("avg_talk_time", "max_hold_time", "days_since_last_call", "days_sin
       FROM call_features JOIN cease_history USING ({ID}, observation_date))""" for c in _NULLABLE))
 def _(spark, d):
     from tidemark.operators.temporal import call_view, cease_view, point_in_time
-    rows = point_in_time(inputs.spine(spark, d), call_view(inputs.calls(spark, d)),
-                         cease_view(given.cease_days(spark, d), labels=False))
+    rows = materialise(
+        point_in_time(inputs.spine(spark, d), call_view(inputs.calls(spark, d)),
+                      cease_view(given.cease_days(spark, d), labels=False))
+        .select(OBSERVED, *_NULLABLE))
     cut = F.lit("1996-01-01").cast("date")
     return rounded(monitor.null_rate_alerts(rows.where(F.col(OBSERVED) < cut),
                                             rows.where(F.col(OBSERVED) >= cut), _NULLABLE),

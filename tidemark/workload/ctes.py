@@ -30,7 +30,7 @@ JOIN region ON n_regionkey = r_regionkey"""
 BLOCKS["raw_usage"] = """
 SELECT CAST(o_custkey AS VARCHAR) AS unique_customer_identifier,
        strftime(d, '%Y-%m-%d') AS calendar_date,
-       CASE WHEN q % 97 = 0 THEN 'n/a' ELSE CAST(q * 10 AS VARCHAR) || '.5' END AS usage_download_mbs,
+       CASE WHEN q % 47 = 0 THEN 'n/a' ELSE CAST(q * 10 AS VARCHAR) || '.5' END AS usage_download_mbs,
        CAST(x AS VARCHAR) AS usage_upload_mbs
 FROM (SELECT o_custkey, CAST(l_shipdate AS DATE) AS d, sum(CAST(l_quantity AS BIGINT)) AS q,
              sum(CAST(floor(l_extendedprice) AS BIGINT)) AS x

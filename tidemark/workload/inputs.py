@@ -11,6 +11,7 @@ from tidemark.operators.temporal import (call_view, cease_view, observation_spin
 from tidemark.plans.cleaning import clean_calls, clean_cease, clean_customer_info, clean_usage
 from tidemark.plans.scoring import SCORECARD, score_table, scorecard_probabilities
 from tidemark.sources import given
+from tidemark.sources.tables import materialise
 
 
 def customer_info(spark, d) -> DataFrame:
@@ -60,4 +61,4 @@ def judged(spark, d) -> DataFrame:
 
 
 def scores(spark, d) -> DataFrame:
-    return score_table(scored(spark, d))
+    return score_table(materialise(scored(spark, d), "scored"))

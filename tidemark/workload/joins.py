@@ -11,6 +11,7 @@ from tidemark.operators.evaluation import linear_attribution, rank_shift, top_fe
 from tidemark.plans.features import feature_table, training_set
 from tidemark.plans.scoring import SCORECARD
 from tidemark.sources import given
+from tidemark.sources.tables import materialise
 from tidemark.workload import inputs
 from tidemark.workload.registry import query, rounded
 
@@ -231,7 +232,7 @@ _IMPORTANCE = " UNION ALL ".join(
 
 def _importance(spark, d):
     weights = {h: ws for h, (_, ws) in SCORECARD.items()}
-    return rounded(linear_attribution(inputs.scored(spark, d), weights), 8, "importance")
+    return rounded(linear_attribution(materialise(inputs.scored(spark, d)), weights), 8, "importance")
 
 
 @query("ml_linear_attribution", f"SELECT horizon, feature, round(importance, 6) AS importance FROM ({_IMPORTANCE})")
