@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark import contract
 from tidemark.contract import (ENTITY, HORIZONS, OBSERVED, TierThresholds, decile_name,
                                probability_name)
 from tidemark.functions.risk import absolute_decile, linear_score, logistic, risk_tier

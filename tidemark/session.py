@@ -44,16 +44,23 @@ def local_session(cores: int = 8, app: str = "tidemark", **conf: str) -> SparkSe
     return tune(session)
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see. A machine-local folder is accepted in local mode only."""
+    """The folder all executors see, as the session names it.
+
+    Where none is named, local mode gets one temporary folder per application.
+    """
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-    own = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(CHECKPOINT_CONF, own)
-    return own
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDERS:
+        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="tidemark-")
+    return _OWN_FOLDERS[application]
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:

@@ -49,6 +49,15 @@ def _session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None
             spark.conf.set(key, before)
 
 
+def evened(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows gathered by their table partition before a partitioned write.
+
+    A rebalance, so small partitions share a task and a large one is split over
+    many: neither a file per task and partition, nor one task for a hot month.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by])
+
+
 def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
                 mode: str = "overwrite", fmt: str = "parquet") -> int:
     """Write a table and return the rows written, counted by the write itself.
@@ -63,7 +72,7 @@ def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
     else:
         writer = counted.write.mode(mode).format(fmt)
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            writer = evened(counted, partition_by).write.mode(mode).format(fmt).partitionBy(*partition_by)
         writer.saveAsTable(name)
     return counter.get["rows"]
 

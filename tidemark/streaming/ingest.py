@@ -11,6 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tidemark.operators.quality import Rule, enforce
 from tidemark.operators.rollup import monthly_rollup
 from tidemark.sources.readers import with_ingest_meta
+from tidemark.sources.tables import evened
 
 
 def land(stream: DataFrame, path: str, checkpoint: str, meta: bool = True,
@@ -41,7 +42,7 @@ def monthly_refresh(daily: DataFrame, daily_path: str, monthly_path: str, checkp
     spark = daily.sparkSession
 
     def replace(df: DataFrame, path: str, *by: str) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (evened(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*by).parquet(path))
 
     def step(batch: DataFrame, batch_id: int) -> None:
