@@ -51,6 +51,21 @@ def test_metrics_against_brute_force(spark):
         assert got[h]["predicted_churn_rate"] == pytest.approx(np.mean(p))
 
 
+def test_unrounded_scores_in_two_levels(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(300):
+        p = rng.choice([0.0, 1.0, 0.5, rng.random(), rng.random() * 1e-7])
+        rows.append((f"c{i}", p, p / 3, 1 - p, *[int(rng.random() < .4) for _ in HORIZONS]))
+    hist = E.score_histogram(spark.createDataFrame(rows, SCHEMA), digits=None)
+    got = {r["horizon"]: r for r in E.ranking_metrics(hist, cells=16).collect()}
+    for i, h in enumerate(HORIZONS):
+        p, y = [r[1 + i] for r in rows], [r[4 + i] for r in rows]
+        assert got[h]["auc_roc"] == pytest.approx(brute_auc(p, y), abs=1e-12)
+        assert got[h]["auc_pr"] == pytest.approx(brute_ap(p, y), abs=1e-12)
+        assert got[h]["n_customers"] == len(rows)
+
+
 def test_metrics_without_positives_are_null(spark):
     rows = [("a", .1, .2, .3, 0, 0, 0), ("b", .2, .3, .4, 0, 0, 0)]
     got = E.ranking_metrics(E.score_histogram(spark.createDataFrame(rows, SCHEMA))).first()

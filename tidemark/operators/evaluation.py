@@ -4,6 +4,8 @@ Every ranking metric is computed from one histogram (horizon, score) ->
 (positives, negatives). Scores carry ``digits`` decimals (six by default, the
 precision scores are published with), so the histogram has at most
 10**digits + 1 rows per horizon whatever the input, and the ordered windows run on it.
+With ``digits=None`` scores are taken as they are; the running sums then work in
+two levels, over cells of the unit interval and inside each cell.
 """
 
 from __future__ import annotations
@@ -18,11 +20,14 @@ from tidemark.contract import HORIZONS, label_name, probability_name
 from tidemark.functions.risk import bin_of
 
 
-def score_histogram(df: DataFrame, horizons: Sequence[int] = HORIZONS, digits: int = 6,
+def score_histogram(df: DataFrame, horizons: Sequence[int] = HORIZONS, digits: int | None = 6,
                     by: Sequence[str] = ()) -> DataFrame:
     """(by..., horizon, score, pos, neg); the label and probability columns are those of the contract."""
-    lines = F.array(*[F.struct(F.lit(h).alias("horizon"),
-                               F.round(probability_name(h), digits).alias("score"),
+    def score(h: int) -> Column:
+        p = F.col(probability_name(h))
+        return (p if digits is None else F.round(p, digits)).alias("score")
+
+    lines = F.array(*[F.struct(F.lit(h).alias("horizon"), score(h),
                                F.col(label_name(h)).cast("bigint").alias("y")) for h in horizons])
     return (df.select(*by, F.inline(lines))
             .where(F.col("score").isNotNull() & F.col("y").isNotNull())
@@ -30,12 +35,31 @@ def score_histogram(df: DataFrame, horizons: Sequence[int] = HORIZONS, digits: i
             .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
 
 
-def ranking_curve(hist: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Running true and false positives from the highest score down, with the totals."""
-    group = Window.partitionBy(*by, "horizon")
-    down = group.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    return hist.withColumns({"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down),
-                             "P": F.sum("pos").over(group), "N": F.sum("neg").over(group)})
+def ranking_curve(hist: DataFrame, by: Sequence[str] = (), cells: int | None = None) -> DataFrame:
+    """Running true and false positives from the highest score down, with the totals.
+
+    ``cells`` splits [0, 1] for histograms without a bound: sums of whole cells
+    are accumulated first, then the scores inside each cell, so one task sees
+    the distinct scores of one cell.
+    """
+    keys = [*by, "horizon"]
+    group = Window.partitionBy(*keys)
+    if cells is None:
+        down = group.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+        return hist.withColumns({"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down),
+                                 "P": F.sum("pos").over(group), "N": F.sum("neg").over(group)})
+    placed = hist.withColumn("_cell", F.least(F.floor(F.col("score") * cells), F.lit(cells - 1)))
+    higher = group.orderBy(F.desc("_cell")).rowsBetween(Window.unboundedPreceding, -1)
+    totals = (placed.groupBy(*keys, "_cell").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+              .withColumns({"_tp": F.coalesce(F.sum("_p").over(higher), F.lit(0)),
+                            "_fp": F.coalesce(F.sum("_n").over(higher), F.lit(0)),
+                            "P": F.sum("_p").over(group), "N": F.sum("_n").over(group)}))
+    inside = (Window.partitionBy(*keys, "_cell").orderBy(F.desc("score"))
+              .rowsBetween(Window.unboundedPreceding, 0))
+    return (placed.join(totals, [*keys, "_cell"])
+            .withColumns({"tp": F.col("_tp") + F.sum("pos").over(inside),
+                          "fp": F.col("_fp") + F.sum("neg").over(inside)})
+            .drop("_cell", "_p", "_n", "_tp", "_fp"))
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -63,14 +87,15 @@ def precision_at_recall(hist: DataFrame, recall: float = 0.7) -> DataFrame:
             .agg(F.max("precision").alias("precision_at_recall")))
 
 
-def ranking_metrics(hist: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def ranking_metrics(hist: DataFrame, by: Sequence[str] = (), cells: int | None = None
+                    ) -> DataFrame:
     """Area under ROC (ties count half), average precision, sizes and rates.
 
     Both areas are null where a horizon has no positives.
     """
     tp, fp, pos, neg = (F.col(c).cast("double") for c in ("tp", "fp", "pos", "neg"))
     P, N = F.max("P").cast("double"), F.max("N").cast("double")
-    return ranking_curve(hist, by).groupBy(*by, "horizon").agg(
+    return ranking_curve(hist, by, cells).groupBy(*by, "horizon").agg(
         F.try_divide(F.sum(neg * (tp - pos / 2)), P * N).alias("auc_roc"),
         F.try_divide(F.sum(pos * tp / (tp + fp)), P).alias("auc_pr"),
         (F.max("P") + F.max("N")).alias("n_customers"),

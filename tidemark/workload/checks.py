@@ -177,6 +177,13 @@ def _(spark, d):
     return _plain(evaluation.ranking_metrics(_hist(spark, d)))
 
 
+# the oracle's scores have six decimals, so both ways must agree
+@query("ml_ranking_metrics_unrounded", _METRIC_SQL)
+def _(spark, d):
+    hist = evaluation.score_histogram(inputs.judged(spark, d), digits=None)
+    return _plain(evaluation.ranking_metrics(hist, cells=1024))
+
+
 @query("ml_auc_pairs", """
 SELECT a.horizon, round(sum(a.pos * b.neg * CASE WHEN a.score > b.score THEN 1.0::DOUBLE
    WHEN a.score = b.score THEN 0.5::DOUBLE ELSE 0 END)
