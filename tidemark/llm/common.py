@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.tables import materialise
+from tidemark.session import fresh_folder
 
 # white space of the contracts: space and U+0009 to U+000D
 BLANK = r"[\x20\x09-\x0D]+"
@@ -18,6 +18,17 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the session's shared folder and return it as a scan.
+
+    What several jobs read is computed once and outlives lost executors. Packed tightly, as
+    these tables hold texts and live as long as their folder does.
+    """
+    folder = fresh_folder(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def numbered(docs: DataFrame, label: str) -> DataFrame:
     """Columns ``row`` (unique) and ``doc`` (all columns of ``docs`` as a struct), written once.
 

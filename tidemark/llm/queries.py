@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, topk
-from tidemark.llm.common import read
+from tidemark.llm import bpe, exact_dedup, mixing, near_dedup, topk
+from tidemark.llm import toxicity as toxic
+from tidemark.llm.common import read, sha256_text
+
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +107,44 @@ def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read(spark, folder, "embeddings").select(
         "vec_id", topk.integer_vector("embedding").alias("vector"))
     return topk.top_k(vectors.where(F.col("vec_id") % 100 == 0), vectors)
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxic.toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query("op5_byte_bpe")
+def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    shared = bpe.share_ranks(spark, VOCABULARY, public_tokenizers.PATTERN)
+    tokens = bpe.encode(read(spark, folder, "documents"), shared, decode_too=True)
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
+    return tokens.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+                         sha256_text(ids).alias("ids_sha256"),
+                         sha256_text(F.col("decoded")).alias("decoded_sha256"))
+
+
+@query("op7_minhash_near_dedup", r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM words),
+cells AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k
+  FROM cells a JOIN cells b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common WHERE 100 * k >= 85 * (na + nb - k)),
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, e.b FROM reached r JOIN sides e ON r.other = e.a),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
+FROM sets s JOIN least l USING (doc_id)
+""")
+def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_dedup_decisions(read(spark, folder, "documents"), words=3, percent=85)
