@@ -9,6 +9,7 @@ are copies. Equality is decided by the bytes themselves, no digest is compared.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import chain, repeat
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tidemark.llm.common import BLANK, materialise, numbered, sha256_text, whole
 
 # bytes per digit by round; the last width repeats until every group has closed
 DIGITS = (48, 512, 4096, 32768, 262144)
+_ALL = 2 ** 31 - 1
 
 
 def normalised(text: Column | str) -> Column:
@@ -24,6 +26,22 @@ def normalised(text: Column | str) -> Column:
     return F.regexp_replace(whole(text), BLANK, " ")
 
 
+def _split(rows: DataFrame, width: int) -> DataFrame:
+    """One round: groups by digit; what is alone in its group is left out, it has no copy.
+
+    A group whose digit is short has ended, and its members are equal.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
+    # partial sums shrink a hot group before the shuffle. Written, so that the join shuffles both
+    # sides anew and a hot digit can be split among tasks
+    found = materialise(rows.groupBy("group", "digit").agg(first.alias("first"), F.count("*").alias("members"))
+                        .where("members > 1"), "equal-groups")
+    both = rows.join(found.hint("merge"), ["group", "digit"])
+    return materialise(
+        both.withColumn("group", F.col("first.row")).withColumn("keep_id", F.col("first.doc_id"))
+        .withColumn("ended", F.octet_length("digit") < width).drop("first", "digit"), "equal-split")
+
+
 def groups_of_equals(docs: DataFrame, digits: Sequence[int] = DIGITS) -> tuple[DataFrame, DataFrame]:
     """The numbered documents, and a decision for each.
 
@@ -37,38 +55,25 @@ def groups_of_equals(docs: DataFrame, digits: Sequence[int] = DIGITS) -> tuple[D
         base.select("row", "doc.doc_id", plain.alias("bytes"))
         .select("row", "doc_id", F.substring("bytes", 1, digits[0]).alias("digit"),
                 sha256_text(F.col("bytes")).alias("text_sha256")), "equal-heads")
-    closed: list[DataFrame] = []
-    open_rows = heads.select("row", "doc_id", F.lit(0).cast("long").alias("group"), "digit")
-    start, turn = 0, 0
-    while True:
-        width = digits[min(turn, len(digits) - 1)]
-        # the row that stays and the member count: partial sums shrink a hot group before the shuffle
-        first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
-        found = (open_rows.groupBy("group", "digit").agg(first.alias("first"), F.count("*").alias("members"))
-                 .where("members > 1"))
-        # written, so that the join below shuffles both sides anew and a hot digit can be split
-        found = materialise(found, "equal-groups")
-        both = open_rows.join(found, ["group", "digit"])
-        ended = F.octet_length("digit") < width
-        split = materialise(
-            both.select("row", "doc_id", F.col("first.row").alias("group"),
-                        F.col("first.doc_id").alias("keep_id"), "members", ended.alias("ended")),
-            "equal-split")
-        closed.append(split.where("ended"))
-        going = split.where("NOT ended")
-        start, turn = start + width, turn + 1
-        width = digits[min(turn, len(digits) - 1)]
-        if going.isEmpty():
+    split = _split(heads.select("row", "doc_id", F.lit(0).cast("long").alias("group"), "digit"), digits[0])
+    closed = [split.where("ended").select("row", "group", "keep_id", "members")]
+    going = split.where("NOT ended").select("row", "doc_id", "group")
+    # what is left of the texts of open groups, fetched once. A merge join at every size: sent
+    # to all tasks, the open rows would have to stay small.
+    rest = F.substring("bytes", digits[0] + 1, _ALL)
+    rows = materialise(base.select("row", plain.alias("bytes")).select("row", rest.alias("rest"))
+                       .join(going.hint("merge"), "row"), "equal-open")
+    for width in chain(digits[1:], repeat(digits[-1])):
+        if rows.isEmpty():
             break
-        rest = base.select("row", plain.alias("bytes"))
-        open_rows = materialise(
-            going.select("row", "doc_id", "group").join(rest, "row")
-            .select("row", "doc_id", "group",
-                    F.substring("bytes", start + 1, width).alias("digit")), "equal-open")
+        split = _split(rows.select("row", "doc_id", "group", "rest",
+                                   F.substring("rest", 1, width).alias("digit")), width)
+        closed.append(split.where("ended").select("row", "group", "keep_id", "members"))
+        rows = split.where("NOT ended").select(
+            "row", "doc_id", "group", F.substring("rest", width + 1, _ALL).alias("rest"))
     copies = closed[0]
     for more in closed[1:]:
         copies = copies.unionByName(more)
-    copies = copies.select("row", "group", "keep_id", "members")
     alone = F.col("group").isNull()
     decided = heads.select("row", "doc_id", "text_sha256").join(copies, "row", "left").select(
         "row", "doc_id",
