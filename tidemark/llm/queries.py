@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, mixing, near_dedup, topk
+from tidemark.llm import bpe, exact_dedup, mixing, near_dedup, pii, secrets, topk, url_filter
+from tidemark.llm import quality as good
 from tidemark.llm import toxicity as toxic
 from tidemark.llm.common import read, sha256_text
 
@@ -148,3 +149,23 @@ FROM sets s JOIN least l USING (doc_id)
 """)
 def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_dedup_decisions(read(spark, folder, "documents"), words=3, percent=85)
+
+
+@query("op2_secrets")
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(read(spark, folder, "documents")))
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return good.quality(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query("op9_pii")
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.find_personal(read(spark, folder, "documents")))
+
+
+@query("op10_url_filter")
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(read(spark, folder, "pages"))
