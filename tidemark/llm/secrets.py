@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, quoted, sha256_text, whole
-from tidemark.llm.spans import count_of, hits, listing, nothing, overlaps
+from tidemark.llm.spans import count_of, hits, listing, overlaps
 
 KINDS = ("assign", "access", "hex", "random")
 # The forms. Runs are possessive and start where a run starts, which finds the same matches as
@@ -26,8 +26,8 @@ TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 LEAST_ASSIGNED = 6
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-# Prior counts of a transition. Random strings may use any; identifiers keep to what is seen.
-PRIOR_RANDOM, PRIOR_ORDINARY = 2.0, 0.1
+# prior count of a character, and of a character's transitions
+RARE, LEAN = 0.1, 10.0
 # mean log-likelihood ratio of a transition, in nats, from which a token is reported
 THRESHOLD = 1.0
 
@@ -76,18 +76,29 @@ def transition_counts(scanned: DataFrame) -> DataFrame:
 
 
 def log_ratios(counts: DataFrame) -> list[float]:
-    """Of every transition, row by row of the alphabet; the table is as large as the alphabet squared."""
+    """Of every transition, row by row of the alphabet; the table is as large as the alphabet squared.
+
+    A transition's chance leans on how common its second character is, the less the more often its
+    first one was seen. Half of the random model is the even distribution: the known secrets may
+    be of one sort only, other random strings use any character. No samples, no evidence: zeros.
+    """
     size = len(ALPHABET)
     seen = {True: {}, False: {}}
     for random, pair, n in counts.collect():
         seen[random][pair] = n
+    if not seen[True] or not seen[False]:
+        return [0.0] * (size * size)
+    single = {}
+    for r, pairs in seen.items():
+        total = sum(pairs.values())
+        single[r] = {b: (sum(pairs.get(a + b, 0) for a in ALPHABET) + RARE) / (total + RARE * size)
+                     for b in ALPHABET}
     out = []
     for a in ALPHABET:
-        total = {r: sum(seen[r].get(a + b, 0) for b in ALPHABET) for r in (True, False)}
+        row = {r: sum(seen[r].get(a + b, 0) for b in ALPHABET) for r in seen}
         for b in ALPHABET:
-            p = (seen[True].get(a + b, 0) + PRIOR_RANDOM) / (total[True] + PRIOR_RANDOM * size)
-            q = (seen[False].get(a + b, 0) + PRIOR_ORDINARY) / (total[False] + PRIOR_ORDINARY * size)
-            out.append(math.log(p / q))
+            p, q = ((seen[r].get(a + b, 0) + LEAN * single[r][b]) / (row[r] + LEAN) for r in (True, False))
+            out.append(math.log((p / 2 + 0.5 / size) / q))
     return out
 
 
@@ -108,33 +119,25 @@ def mean_ratio(value: Column, ratios: list[float]) -> Column:
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``key, base, spans`` of each row: known forms, and those with the random-looking tokens.
 
-    A span is ``kind`` (index of `KINDS`), ``start``, ``end``. Without any labelled sample both
-    models are their priors alone and no token is reported.
+    A span is ``kind`` (index of `KINDS`), ``start``, ``end``. Without samples of either sort
+    there is no evidence and no token is reported.
     """
     scanned = scan(docs, key, text)
     counts = transition_counts(scanned)
     ratios = log_ratios(counts)
     plain = "array<struct<kind:int,start:int,end:int>>"
     base = F.transform("base", lambda s: s.dropFields("value")).cast(plain)
-    if counts_are_prior(ratios):
-        extra = nothing(plain)
-    else:
-        extra = F.transform(
-            F.filter("tokens", lambda t: mean_ratio(t["value"], ratios) >= threshold),
-            lambda t: F.struct(F.lit(3).alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
+    extra = F.transform(
+        F.filter("tokens", lambda t: mean_ratio(t["value"], ratios) >= threshold),
+        lambda t: F.struct(F.lit(3).alias("kind"), t["start"].alias("start"), t["end"].alias("end"))).cast(plain)
     return scanned.select(F.col("key").alias(key), base.alias("base"), F.concat(base, extra).alias("spans"))
 
 
-def counts_are_prior(ratios: list[float]) -> bool:
-    return all(abs(r) < 1e-9 for r in ratios)
-
-
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
     """Counts per form, the hash of the base spans and the listing of all, by start, then kind."""
     def order(s: Column) -> list[Column]:
         return [s["start"], s["kind"]]
 
-    counts = [count_of(F.col("base"), k).alias(f"n_{KINDS[k]}")
-              for k in range(3)]
+    counts = [count_of(F.col("base"), k).alias(f"n_{KINDS[k]}") for k in range(3)]
     return found.select(key, *counts, sha256_text(listing(F.col("base"), KINDS, order)).alias("base_sha256"),
                         listing(F.col("spans"), KINDS, order).alias("spans"))
