@@ -102,3 +102,11 @@ def test_closed_windows_equal_batch(spark, tmp_path):
     batch = error_ratio(spark.read.parquet(source), by=["endpoint"]).where(F.col("window_end") <= F.lit(closed))
     columns = ["window_start", "window_end", "endpoint", "requests", "errors", "error_ratio"]
     assert values(got, *columns) == values(batch, *columns)
+
+
+def test_a_table_of_several_files_is_streamed_whole(spark, folder, tmp_path):
+    from tidemark.workload import QUERIES
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    orders.repartition(3).write.parquet(f"{tmp_path}/orders.parquet")
+    got = QUERIES["str_bronze_ingest"](spark, str(tmp_path))
+    assert got.exceptAll(orders.select(*got.columns)).count() == 0 and got.count() == orders.count()
