@@ -97,3 +97,12 @@ def test_default_of_every_field_is_valid(spark):
     df = with_defaults(spark.createDataFrame([("x",)], "customer_id string"))
     assert Q.record_problems(df).first()["problems"] == []
     assert len(contract.RECORD_RANGES) == 29
+
+
+def test_a_failure_is_not_hidden_by_a_drop(spark):
+    df = spark.createDataFrame([(None, 1)], "a int, b int")
+    rules = [Q.Rule("a_set", "a IS NOT NULL", Q.DROP), Q.Rule("b_even", "b % 2 = 0", Q.FAIL)]
+    for some in (rules, rules[::-1]):
+        with pytest.raises(Exception, match="b_even"):
+            Q.enforce(df, some).collect()
+    assert Q.enforce(df, rules[:1]).count() == 0

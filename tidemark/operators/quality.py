@@ -94,14 +94,14 @@ def enforce(df: DataFrame, rules: Sequence[Rule], observation: str | Observation
     if observation is not None:
         df = df.observe(observation, F.count("*").alias("rows"),
                         *[F.count_if(~r.met).alias(r.name) for r in rules])
-    kept = F.lit(True)
-    for rule in rules:
-        if rule.severity == DROP:
-            kept = kept & rule.met
-        elif rule.severity == FAIL:
-            kept = kept & F.when(rule.met, F.lit(True)).otherwise(
-                F.raise_error(F.lit(f"rule {rule.name} failed")).cast("boolean"))
-    return df if not any(r.severity != WARN for r in rules) else df.where(kept)
+    # one expression decides, failures first: a row that would be dropped still fails
+    verdict = F.lit(True)
+    for rule in reversed([r for r in rules if r.severity == DROP]):
+        verdict = F.when(~rule.met, F.lit(False)).otherwise(verdict)
+    for rule in reversed([r for r in rules if r.severity == FAIL]):
+        failed = F.raise_error(F.lit(f"rule {rule.name} failed")).cast("boolean")
+        verdict = F.when(~rule.met, failed).otherwise(verdict)
+    return df if not any(r.severity != WARN for r in rules) else df.where(verdict)
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
