@@ -113,6 +113,8 @@ def test_horizon_text(spark):
 
 
 def test_probability_bands(spark):
+    assert one(spark, [(None,)], "p double", b=R.probability_band("p")) == one(
+        spark, [(None,)], "p double", b=F.lit(None).cast("string"))
     got = one(spark, [(0.0,), (0.3,), (0.5,), (0.7,), (1.0,)], "p double", b=R.probability_band("p"))
     assert [g[0] for g in got] == ["0-30", "30-50", "50-70", "70-100", "70-100"]
 

@@ -99,6 +99,18 @@ def test_confusion_and_weights(spark):
         (30, 2, 1, 0.5), (60, 1, 2, 2.0), (90, 0, 3, 3.0)]
 
 
+def test_quantile_edges_are_interpolated_percentiles(spark):
+    rng = random.Random(8)
+    rows = [(h, rng.random() if rng.random() < .7 else .25, rng.randint(0, 3), rng.randint(1, 4))
+            for h in (30, 60) for _ in range(400)]
+    hist = (spark.createDataFrame(rows, "horizon int, score double, pos long, neg long")
+            .groupBy("horizon", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+    got = {r["horizon"]: r["edges"] for r in E.quantile_edges(hist, 10).collect()}
+    for h in (30, 60):
+        every = np.repeat([r[1] for r in rows if r[0] == h], [r[2] + r[3] for r in rows if r[0] == h])
+        assert np.allclose(got[h], np.quantile(every, [i / 10 for i in range(11)]), atol=1e-12)
+
+
 def test_rank_shift_takes_mean_rank_of_ties(spark):
     imp = [(h, f, v) for h in HORIZONS for f, v in (("a", 3.0), ("b", 1.0), ("c", 1.0), ("d", .5))]
     out = E.rank_shift(spark.createDataFrame(imp, "horizon int, feature string, importance double"))
@@ -112,13 +124,19 @@ def test_rank_shift_takes_mean_rank_of_ties(spark):
     (0.19, 0.1, {}, False, "Below minimum threshold (0.1900 < 0.2)"),
     (0.3, 0.4, {}, False, "Regression detected (-25.00%)"),
     (0.4, 0.4, {}, True, "Performance improvement: +0.00%"),
-    (0.39, 0.4, {"tolerance_pct": 5.0}, True, "Performance improvement: -2.50%")])
+    (0.39, 0.4, {"tolerance_pct": 5.0}, True, "Performance improvement: -2.50%"),
+    (None, 0.4, {}, False, "Not measured"),
+    (None, None, {}, False, "Not measured"),
+    (0.1, "unknown", {}, False, "Below minimum threshold (0.1000 < 0.2)"),
+    (0.3, "unknown", {}, True, "Champion was not measured")])
 def test_promotion(spark, new, champion, options, promoted, reason):
-    log = [] if champion is None else [(30, 1, "Champion", 0.9), (30, 2, "Champion", champion),
-                                       (30, 3, "Challenger", 0.99)]
+    value = None if champion == "unknown" else champion
+    log = [] if champion is None else [(30, 1, "Champion", value if value is None else 0.9),
+                                       (30, 2, "Champion", value), (30, 3, "Challenger", 0.99)]
     versions = spark.createDataFrame(log, "horizon int, version int, alias string, test_auc_pr double")
     out = E.promotion(spark.createDataFrame([(30, new)], "horizon int, test_auc_pr double"), versions,
                       **options).first()
+    assert "_has" not in out
     assert (out["promoted"], out["reason"]) == (promoted, reason)
     assert out["alias"] == ("Champion" if promoted else "Challenger")
 

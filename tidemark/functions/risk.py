@@ -28,9 +28,10 @@ def absolute_decile(p: Column | str) -> Column:
 
 
 def probability_band(p: Column | str) -> Column:
+    """Null stays null."""
     value = _col(p)
     return (F.when(value < 0.3, "0-30").when(value < 0.5, "30-50")
-            .when(value < 0.7, "50-70").otherwise("70-100"))
+            .when(value < 0.7, "50-70").when(value.isNotNull(), "70-100"))
 
 
 def bin_of(value: Column | str, edges: Column | str, n: int) -> Column:

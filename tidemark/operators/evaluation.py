@@ -1,11 +1,10 @@
 """Ranking quality, calibration, lift, attribution and the promotion gate.
 
 Every ranking metric is computed from one histogram (horizon, score) ->
-(positives, negatives). Scores carry ``digits`` decimals (six by default, the
-precision scores are published with), so the histogram has at most
-10**digits + 1 rows per horizon whatever the input, and the ordered windows run on it.
-With ``digits=None`` scores are taken as they are; the running sums then work in
-two levels, over cells of the unit interval and inside each cell.
+(positives, negatives). Scores are taken as they are; running sums work in two levels,
+over cells of the unit interval and inside each cell, so no task sees all scores of a
+horizon. ``digits`` cuts scores to so many decimals, which bounds the histogram where
+that is wanted.
 """
 
 from __future__ import annotations
@@ -20,7 +19,10 @@ from tidemark.contract import HORIZONS, label_name, probability_name
 from tidemark.functions.risk import bin_of
 
 
-def score_histogram(df: DataFrame, horizons: Sequence[int] = HORIZONS, digits: int | None = 6,
+CELLS = 1024
+
+
+def score_histogram(df: DataFrame, horizons: Sequence[int] = HORIZONS, digits: int | None = None,
                     by: Sequence[str] = ()) -> DataFrame:
     """(by..., horizon, score, pos, neg); the label and probability columns are those of the contract."""
     def score(h: int) -> Column:
@@ -35,12 +37,12 @@ def score_histogram(df: DataFrame, horizons: Sequence[int] = HORIZONS, digits: i
             .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
 
 
-def ranking_curve(hist: DataFrame, by: Sequence[str] = (), cells: int | None = None) -> DataFrame:
+def ranking_curve(hist: DataFrame, by: Sequence[str] = (), cells: int | None = CELLS) -> DataFrame:
     """Running true and false positives from the highest score down, with the totals.
 
-    ``cells`` splits [0, 1] for histograms without a bound: sums of whole cells
-    are accumulated first, then the scores inside each cell, so one task sees
-    the distinct scores of one cell.
+    ``cells`` splits [0, 1]: sums of whole cells are accumulated first, then the scores
+    inside each cell, so one task sees the distinct scores of one cell. None sums in one
+    level, for histograms known to be small.
     """
     keys = [*by, "horizon"]
     group = Window.partitionBy(*keys)
@@ -87,7 +89,7 @@ def precision_at_recall(hist: DataFrame, recall: float = 0.7) -> DataFrame:
             .agg(F.max("precision").alias("precision_at_recall")))
 
 
-def ranking_metrics(hist: DataFrame, by: Sequence[str] = (), cells: int | None = None
+def ranking_metrics(hist: DataFrame, by: Sequence[str] = (), cells: int | None = CELLS
                     ) -> DataFrame:
     """Area under ROC (ties count half), average precision, sizes and rates.
 
@@ -112,11 +114,35 @@ def compare_horizons(metrics: DataFrame, splits: Sequence[str] = ("validation",
         for s in splits for m in ("auc_roc", "auc_pr")])
 
 
+def quantile_edges(hist: DataFrame, bins: int = 10) -> DataFrame:
+    """(horizon, edges): the interpolated quantiles i / bins, from running counts.
+
+    Each edge lies between the scores at two ranks; the score at a rank is the one whose run
+    of rows holds it. No aggregate keeps the distinct scores.
+    """
+    n = F.col("P") + F.col("N")
+    below = n - F.col("tp") - F.col("fp")
+    upto = below + F.col("pos") + F.col("neg")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((below <= rank) & (rank < upto), F.col("score")))
+
+    places = [(n - 1) * F.lit(i / bins) for i in range(bins + 1)]
+    found = ranking_curve(hist).groupBy("horizon").agg(
+        F.max(n).alias("n"), *[at(F.floor(p)).alias(f"lo{i}") for i, p in enumerate(places)],
+        *[at(F.ceil(p)).alias(f"hi{i}") for i, p in enumerate(places)])
+
+    def edge(i: int) -> Column:
+        place, lo, hi = (F.col("n") - 1) * F.lit(i / bins), F.col(f"lo{i}"), F.col(f"hi{i}")
+        return F.when((F.floor(place) == F.ceil(place)) | (lo == hi), lo).otherwise(
+            (F.ceil(place) - place) * lo + (place - F.floor(place)) * hi)
+
+    return found.select("horizon", F.array(*[edge(i) for i in range(bins + 1)]).alias("edges"))
+
+
 def binned(hist: DataFrame, bins: int = 10) -> DataFrame:
     """The histogram with its quantile bin. Edges: one array per horizon, broadcast."""
-    grid = F.array(*[F.lit(i / bins) for i in range(bins + 1)])
-    edges = hist.groupBy("horizon").agg(F.array_sort(F.array_distinct(
-        F.percentile("score", grid, F.col("pos") + F.col("neg")))).alias("edges"))
+    edges = quantile_edges(hist, bins).withColumn("edges", F.array_sort(F.array_distinct("edges")))
     return (hist.join(F.broadcast(edges), "horizon")
             .withColumn("bin", bin_of("score", "edges", bins)).drop("edges"))
 
@@ -127,9 +153,7 @@ def calibration_curve(hist: DataFrame, bins: int = 10) -> DataFrame:
     Unlike the deciles of the lift table, repeated edges are not merged, so the
     numbers of the remaining bins can have gaps.
     """
-    grid = F.array(*[F.lit(i / bins) for i in range(bins + 1)])
-    edges = hist.groupBy("horizon").agg(
-        F.percentile("score", grid, F.col("pos") + F.col("neg")).alias("edges"))
+    edges = quantile_edges(hist, bins)
     inner = F.slice("edges", 2, bins - 1)
     place = F.size(F.filter(inner, lambda e: e < F.col("score"))) + 1
     n = F.col("pos") + F.col("neg")
@@ -216,25 +240,30 @@ def promotion(challengers: DataFrame, versions: DataFrame,
 
     ``challengers``: (horizon, test_auc_pr). ``versions``: an append-only log
     (horizon, version, alias, test_auc_pr). The first model of a horizon is
-    promoted; the floor holds for it only on request.
+    promoted; the floor holds for it only on request. A challenger without a value is never
+    promoted, and a champion without one is replaced by whatever passes the floor.
     """
     champions = (versions.where(F.col("alias") == "Champion").groupBy("horizon")
-                 .agg(F.max_by("test_auc_pr", "version").alias("champion_auc_pr")))
+                 .agg(F.max_by("test_auc_pr", "version").alias("champion_auc_pr"), F.lit(True).alias("_has")))
     new, old = F.col("test_auc_pr"), F.col("champion_auc_pr")
-    first = old.isNull()
+    first = F.col("_has").isNull()
+    unmeasured = new.isNull() | F.isnan(new)
+    unknown = ~first & (old.isNull() | F.isnan(old))      # a champion nobody measured: the floor decides
     change = F.try_divide(new - old, old) * 100
     below = new < min_auc_pr
-    worse = new < old * (1 - tolerance_pct / 100)
+    worse = ~unknown & (new < old * (1 - tolerance_pct / 100))
     floored = below if enforce_floor_on_first else (~first & below)
-    reason = (F.when(floored, F.format_string(f"Below minimum threshold (%.4f < {min_auc_pr})", new))
+    reason = (F.when(unmeasured, "Not measured")
+              .when(floored, F.format_string(f"Below minimum threshold (%.4f < {min_auc_pr})", new))
               .when(first, "First model")
+              .when(unknown, "Champion was not measured")
               .when(worse, F.format_string("Regression detected (%+.2f%%)", change))
               .otherwise(F.format_string("Performance improvement: %+.2f%%", change)))
-    promoted = ~floored & (first | ~worse)
+    promoted = ~unmeasured & ~floored & (first | ~worse)
     return (challengers.join(champions, "horizon", "left")
             .withColumns({"promoted": promoted,
                           "alias": F.when(promoted, "Champion").otherwise("Challenger"),
-                          "reason": reason, "requires_review": ~promoted}))
+                          "reason": reason, "requires_review": ~promoted}).drop("_has"))
 
 
 def run_log(params: Mapping[int, Mapping[str, float]], spark, run_id: str) -> DataFrame:

@@ -103,7 +103,7 @@ def null_rate_alerts(baseline: DataFrame, current: DataFrame, columns: Sequence[
 
 
 def retrospective(scores: DataFrame, ceases: DataFrame, horizons: Sequence[int] = HORIZONS,
-                  digits: int = 6, date: str = "score_date") -> DataFrame:
+                  digits: int | None = None, date: str = "score_date") -> DataFrame:
     """Quality of past scores once their windows have closed, per score date and horizon.
 
     One row per (entity, score date) is expected, as scoring writes them.

@@ -29,9 +29,10 @@ def sliding(log: DataFrame, by: Sequence[str], counts: Mapping[str, Column], len
                     *by, *counts))
 
 
-def request_rate(log: DataFrame, by: Sequence[str] = ("endpoint",), length: str = "5 minutes",
-                 seconds: int = 300) -> DataFrame:
+def request_rate(log: DataFrame, by: Sequence[str] = ("endpoint",), length: str = "5 minutes"
+                 ) -> DataFrame:
     """Requests and requests per second over the trailing window, each minute."""
+    seconds = F.unix_timestamp("window_end") - F.unix_timestamp("window_start")
     return (sliding(log, by, {"requests": F.count("*")}, length)
             .withColumn("per_second", F.col("requests") / seconds))
 
