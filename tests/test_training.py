@@ -72,5 +72,15 @@ def test_redraw_is_repeatable_and_keeps_rows(table):
     b = training.redraw(table.repartition(5), "calls_30d")
     assert a.columns == table.columns and a.count() == table.count()
     assert a.exceptAll(b).count() == 0
-    assert a.select("calls_30d").exceptAll(table.select("calls_30d")).count() > 0
+    moved = [*training.KEYS, "calls_30d"]       # the values stay, but with other rows
+    assert a.select(*moved).exceptAll(table.select(*moved)).count() > table.count() / 10
     assert a.where("calls_30d is null").count() == 0
+
+
+def test_redraw_uses_every_value_once(table):
+    def counted(df):
+        return df.groupBy("calls_30d").count()
+
+    for rows in (16, 1 << 13):
+        moved = training.redraw(table, "calls_30d", cell_rows=rows)
+        assert counted(moved).exceptAll(counted(table)).count() == 0

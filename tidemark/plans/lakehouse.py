@@ -91,7 +91,7 @@ class Lakehouse:
         return rows
 
     def _put_silver(self, table: str, df: DataFrame, partition_by=()) -> int:
-        return tables.write_table(df, self.name("silver", table), partition_by)
+        return tables.write_table(df, self.name("silver", table), partition_by, laid_out=True)
 
     def quality_report(self) -> DataFrame:
         """One line per check of the four cleaned tables."""
@@ -119,7 +119,7 @@ class Lakehouse:
                   .join(self.read("gold", "churn_labels"), [ENTITY, OBSERVED])
                   .withColumn("split", split_label(OBSERVED, train_end, validation_end)))
         rows["churn_training_set"] = tables.write_table(
-            tables.cluster_layout(joined, [OBSERVED]), self.name("gold", "churn_training_set"))
+            tables.cluster_layout(joined, [OBSERVED, ENTITY]), self.name("gold", "churn_training_set"))
         return rows
 
     # --- models ---------------------------------------------------------------

@@ -10,13 +10,10 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-# Joins on (entity, month) may use data already hashed by entity. Everything that
-# reaches such a join is reduced to days or months per entity, so no hash cell grows hot.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

@@ -59,9 +59,11 @@ def evened(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
-                mode: str = "overwrite", fmt: str = "parquet") -> int:
+                mode: str = "overwrite", fmt: str = "parquet", laid_out: bool = False) -> int:
     """Write a table and return the rows written, counted by the write itself.
 
+    ``laid_out`` says that the rows already lie where they belong, ranged and sorted with the
+    table's partitions first: they are written as they come.
     ``mode="refresh"`` replaces only the partitions that the data touches.
     """
     counter = Observation()
@@ -72,7 +74,8 @@ def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
     else:
         writer = counted.write.mode(mode).format(fmt)
         if partition_by:
-            writer = evened(counted, partition_by).write.mode(mode).format(fmt).partitionBy(*partition_by)
+            placed = counted if laid_out else evened(counted, partition_by)
+            writer = placed.write.mode(mode).format(fmt).partitionBy(*partition_by)
         writer.saveAsTable(name)
     return counter.get["rows"]
 

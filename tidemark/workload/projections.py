@@ -275,9 +275,17 @@ def _(spark, d):
         ENTITY, "calendar_date", "usage_upload_mbs")
 
 
-@query("flt_bernoulli_sample")
+@query("flt_bernoulli_sample", """
+SELECT count(*) AS rows, TRUE AS share_fits, CAST(0 AS BIGINT) AS foreign_rows FROM raw_usage""")
 def _(spark, d):
-    return assemble.bernoulli_sample(given.raw_usage(spark, d))
+    """A random draw has no rows to compare: its share lies within six deviations, and all come from the source."""
+    usage = given.raw_usage(spark, d)
+    keys = [ENTITY, "calendar_date"]
+    sample = assemble.bernoulli_sample(usage, 0.1)
+    drawn, foreign = sample.agg(F.count("*")).scalar(), sample.join(usage, keys, "left_anti").agg(F.count("*")).scalar()
+    n = F.count("*")
+    return usage.agg(n.alias("rows"), (F.abs(drawn - n * 0.1) <= 6 * F.sqrt(n * 0.09)).alias("share_fits"),
+                     foreign.alias("foreign_rows"))
 
 
 @query("flt_stratified_sample", f"""
