@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, numbered, quoted, whole
+from tidemark.llm.common import held_out, quoted, whole
 from tidemark.llm.windows import GRAM_BUCKETS, WORD_CHARS, labelled_sample, word_features
 
 WINDOW, STRIDE = 32, 24
@@ -314,21 +314,37 @@ def _calibration(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return best[1], best[2]
 
 
+def _document_scores(lexicon: Lexicon, texts: list[str]) -> np.ndarray:
+    ids, owner = lexicon.windows(texts)
+    logits = lexicon.network.scores(lexicon.table_now(), ids)
+    worst = np.maximum.reduceat(logits, np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]))
+    return 1 / (1 + np.exp(-worst.astype(np.float64)))
+
+
 def _score_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                ids, owner = lexicon.windows([t.as_py() for t in part.column(1)])
-                logits = shared.value.scores(lexicon.table_now(), ids)
-                worst = np.maximum.reduceat(logits, np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]))
-                score = 1 / (1 + np.exp(-worst.astype(np.float64)))
+                score = _document_scores(lexicon, [t.as_py() for t in part.column(1)])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score)], names=["key", "score"])
 
     return run
 
 
+def _keep_batches(shared, text: int, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon(shared.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                score = _document_scores(lexicon, [t.as_py() or "" for t in part.column(text)])
+                yield part.filter(pa.array(score < threshold))
+
+    return run
+
+
 def fitted(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Network:
     return train(*labelled_sample(docs, labels, "toxic", per_class, max_chars))
 
@@ -349,8 +365,6 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents below the threshold, with all their columns."""
-    network = fitted(docs, labels)
-    base = numbered(docs, "toxic-docs")
-    scores = scored(base.select("row", F.col("doc.text").alias("text")), network, key="row")
-    return base.join(scores.where(F.col("score") < threshold).select("row"), "row", "left_semi").select("doc.*")
+    """The documents below the threshold, with all their columns; decided where a row lies."""
+    shared = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels))
+    return docs.mapInArrow(_keep_batches(shared, docs.columns.index("text"), threshold), docs.schema)
