@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import held_out, quoted, whole
 from tidemark.llm.windows import (GRAM_BUCKETS, WORD_BUCKETS, WORD_CHARS, hashed, labelled_sample,
-                                  word_features)
+                                  natural_share, word_features)
 
 SIZE = 8
 PAIR_BUCKETS = 1 << 15
@@ -164,10 +164,8 @@ def _score_batches(shared):
 
 
 def fitted(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Model:
-    usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out("doc_id"))
-    good, known = usable.agg(F.sum("quality"), F.count("*")).first()
     texts, y = labelled_sample(docs, labels, "quality", per_class, max_chars)
-    return train(texts, y, ((good or 0) + 1) / (known + 2))
+    return train(texts, y, natural_share(labels, "quality"))
 
 
 def scored(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import held_out, quoted, whole
-from tidemark.llm.windows import GRAM_BUCKETS, WORD_CHARS, labelled_sample, word_features
+from tidemark.llm.windows import GRAM_BUCKETS, WORD_CHARS, labelled_sample, natural_share, word_features
 
 WINDOW, STRIDE = 32, 24
 PART = 8                    # components from the word, and as many from its characters
@@ -246,8 +246,11 @@ def _adagrad(values: np.ndarray, sums: np.ndarray, at: np.ndarray, slope: np.nda
     values[rows] -= rate * total / (np.sqrt(sums[rows]) + 1e-6)
 
 
-def train(texts: list[str], y: np.ndarray, seed: int = SEED) -> Network:
-    """Learn from whole documents. With one label only, the network says how rare the other is."""
+def train(texts: list[str], y: np.ndarray, natural: float | None = None, seed: int = SEED) -> Network:
+    """Learn from whole documents. With one label only, the network says how rare the other is.
+
+    ``natural`` is the share of toxic ones where the sample is drawn from; scores are set to it.
+    """
     network = Network(_vocabulary(texts), seed)
     order = np.random.default_rng(seed).permutation(len(y))
     texts, y = [texts[i] for i in order], y[order]
@@ -298,18 +301,20 @@ def train(texts: list[str], y: np.ndarray, seed: int = SEED) -> Network:
                      np.repeat(on_inputs[1:, PART:] / n[:, None], n, axis=0), GRAM_RATE)
     if spared.any():
         logits = np.maximum.reduceat(network.scores(network.projected(network.vectors(words)), ids), first)
-        slope, shift = _calibration(logits[spared].astype(np.float64), y[spared])
+        share = y.mean() if natural is None else natural
+        weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+        slope, shift = _calibration(logits[spared].astype(np.float64), y[spared], weight[spared])
         network.dense["out"] *= np.float32(slope)
         network.dense["shift"] = (network.dense["shift"] * slope + shift).astype(np.float32)
     return network
 
 
-def _calibration(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def _calibration(logits: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and shift, from a grid, that make a document's score a probability."""
     sign, best = np.where(y == 1, 1.0, -1.0), (np.inf, 1.0, 0.0)
     for slope in (0.25, 0.5, 0.75, 1.0):
         for shift in np.linspace(-8, 8, 65):
-            loss = np.logaddexp(0, -sign * (slope * logits + shift)).sum() + 0.02 * shift * shift
+            loss = (weight * np.logaddexp(0, -sign * (slope * logits + shift))).sum() + 0.02 * shift * shift
             best = min(best, (loss, slope, float(shift)))
     return best[1], best[2]
 
@@ -346,7 +351,8 @@ def _keep_batches(shared, text: int, threshold: float):
 
 
 def fitted(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Network:
-    return train(*labelled_sample(docs, labels, "toxic", per_class, max_chars))
+    texts, y = labelled_sample(docs, labels, "toxic", per_class, max_chars)
+    return train(texts, y, natural_share(labels, "toxic"))
 
 
 def scored(docs: DataFrame, network: Network, key: str = "doc_id") -> DataFrame:

@@ -43,6 +43,17 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return sums, hashed(grams[at], GRAM_BUCKETS), gram_starts
 
 
+def usable_labels(labels: DataFrame, column: str) -> DataFrame:
+    """Rows to learn from: an id, a label of 0 or 1, and not held out."""
+    return labels.where(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1) & ~held_out("doc_id"))
+
+
+def natural_share(labels: DataFrame, column: str) -> float:
+    """The share of label 1 among all labels that may be learnt from, never quite 0 or 1."""
+    ones, known = usable_labels(labels, column).agg(F.sum(column), F.count("*")).first()
+    return ((ones or 0) + 1) / (known + 2)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int, max_chars: int
                     ) -> tuple[list[str], np.ndarray]:
     """Whole texts and 0/1 labels to learn from: a bounded sample in hash order.
@@ -51,8 +62,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
     most ``max_chars``. Held-out ids never come in; of several labels of one id the largest
     counts; null ids and labels other than 0 and 1 are left out.
     """
-    known = (labels.where(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1) & ~held_out("doc_id"))
-             .groupBy("doc_id").agg(F.max(column).alias("y")))
+    known = (usable_labels(labels, column).groupBy("doc_id").agg(F.max(column).alias("y")))
     order = F.xxhash64("doc_id")
     picked = None
     for y in (0, 1):
