@@ -1,6 +1,7 @@
 """Every registered query runs on the smallest tables and agrees with its SQL."""
 
 import datetime as dt
+import sys
 from pathlib import Path
 
 import duckdb
@@ -45,3 +46,11 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_entry_works_without_the_optional_modules(monkeypatch):
+    from tidemark import workload
+    for name in [m for m in sys.modules if m.startswith("tidemark.llm")] + ["tidemark.llm", "corpus_pipeline"]:
+        monkeypatch.setitem(sys.modules, name, None)
+    assert set(entry.queries()) == set(workload.QUERIES)
+    assert set(entry.oracle_sql()) == set(workload.ORACLES)
