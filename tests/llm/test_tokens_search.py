@@ -35,18 +35,35 @@ def test_ids_of_any_text(text):
 def test_queue_gives_the_lowest_rank_leftmost_first(entries):
     queue = bpe.RankQueue(70_001)
     for rank, at in entries:
-        queue.push(rank, at)
+        queue.push(rank, [at])
     out = []
     while queue.top:
-        out.append(queue.pop())
-    assert out == sorted(entries) and not queue.buckets and not any(queue.leaf) and not any(queue.middle)
+        rank, bucket = queue.pop()
+        out += [(rank, at) for at in bucket]
+    assert out == sorted(entries) and not queue.buckets and not any(queue.leaf)
 
 
-def test_full_caches_change_nothing(monkeypatch):
+@pytest.mark.parametrize("together", [1, 7, 1 << 16])
+def test_many_texts_at_once(monkeypatch, together):
     monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
+    monkeypatch.setattr(bpe, "CACHE_CHARS", 6)
+    monkeypatch.setattr(bpe, "TOGETHER", together)
     small = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
-    text = " ".join(f"word{i} and{i % 3}" for i in range(50))
-    assert small.encode(text).tolist() == OTHER.encode_ordinary(text)
+    texts = [" ".join(f"word{i * k} and{i % 3}x" for i in range(50)) for k in range(20)] + ODD
+    for at in range(0, len(texts), 9):
+        got = small.encode_all(texts[at:at + 9])
+        assert [g.tolist() for g in got] == [OTHER.encode_ordinary(t) for t in texts[at:at + 9]]
+    assert max(map(len, [*small.pieces, *small.words])) <= 6
+
+
+def test_a_merge_that_opens_a_lower_one():
+    """A pair that a merge makes possible comes first, even if others of the rank wait."""
+    ranks = {bytes([b]): 300 + b for b in range(256)}
+    ranks |= {b"ab": 20, b"abc": 10, b"cab": 5, b"abab": 30}
+    other = tiktoken.Encoding("small", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(0)
+    pieces = ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 30))).encode() for _ in range(500)]
+    assert bpe.Merger(ranks).merged(pieces) == [tuple(other.encode_ordinary(p.decode())) for p in pieces]
 
 
 def test_frames(spark):

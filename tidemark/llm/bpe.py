@@ -1,16 +1,17 @@
 """Byte-level BPE by given merge ranks: encoding with a hierarchical-bitmap rank queue, decoding.
 
-The queue holds, for every merge rank, the positions whose pair has that rank. A bitmap
-over ranks, with bitmaps of its non-empty words above it, gives the lowest rank in use by
-find-first-set. Merging never searches: entries that a neighbour's merge made untrue are
-skipped when they come up. So a pre-token of n bytes costs n log n, however long it is.
+The queue holds, for every merge rank, the positions whose pair has that rank. A bitmap over
+ranks, with a bitmap of its non-empty words above it, gives the lowest rank in use by
+find-first-set. Merging never searches: positions that a neighbour's merge made untrue are
+skipped when they come up. So a pre-token of n bytes costs n log n, however long it is. Many
+pre-tokens share one queue: they lie end to end, and no pair reaches across their bounds.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable, Iterator
-from heapq import heappop, heappush
+from array import array
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -24,140 +25,200 @@ from tidemark.llm.common import quoted, whole
 
 CACHE_ENTRIES = 300_000     # of pre-tokens, and of words; an emptied cache only costs time
 CACHE_CHARS = 64            # longer ones are worked out anew
+TOGETHER = 1 << 16          # bytes of pre-tokens merged in one queue, unless one alone has more
+TEXTS = 64                  # texts looked through before merging what is new in them
 FLUSH_TOKENS = 2_000_000    # tokens in an output batch, unless one text has more
 
 
 class RankQueue:
-    """Positions by rank: ``push`` anywhere, ``pop`` the leftmost of the lowest rank."""
+    """Positions by rank: ``push`` anywhere, ``pop`` all of the lowest rank, in order.
+
+    ``leaf`` has a bit for each rank in use, 64 to a word; ``top`` a bit for each word that is
+    not zero.
+    """
 
     def __init__(self, ranks: int):
         words = (ranks >> 6) + 1
         self.leaf = [0] * words
-        self.middle = [0] * ((words >> 6) + 1)
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, position: int) -> None:
+    def push(self, rank: int, positions: list[int]) -> None:
         bucket = self.buckets.get(rank)
         if bucket is not None:
-            heappush(bucket, position)
+            bucket += positions
             return
-        self.buckets[rank] = [position]
+        self.buckets[rank] = positions
         word = rank >> 6
         self.leaf[word] |= 1 << (rank & 63)
-        self.middle[word >> 6] |= 1 << (word & 63)
-        self.top |= 1 << (word >> 6)
+        self.top |= 1 << word
 
-    def pop(self) -> tuple[int, int]:
-        high = (self.top & -self.top).bit_length() - 1
-        bits = self.middle[high]
-        word = high << 6 | (bits & -bits).bit_length() - 1
+    def pop(self) -> tuple[int, list[int]]:
+        top = self.top
+        word = (top & -top).bit_length() - 1
         bits = self.leaf[word]
-        rank = word << 6 | (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.leaf[word] &= bits - 1
-            if not self.leaf[word]:
-                self.middle[high] &= self.middle[high] - 1
-                if not self.middle[high]:
-                    self.top &= self.top - 1
-        return rank, position
-
-
-def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> tuple[int, ...]:
-    """The ids of one pre-token. ``queue`` is empty before and after."""
-    known = ranks.get(piece)
-    if known is not None:
-        return (known,)
-    n = len(piece)
-    after = list(range(1, n + 1))       # where the part that starts here ends
-    before = list(range(-1, n - 1))     # where the part to its left starts
-    pair = [-1] * n                     # rank of this part with the next; -1 none, -2 merged away
-    for at in range(n - 1):
-        rank = ranks.get(piece[at:at + 2], -1)
-        if rank >= 0:
-            pair[at] = rank
-            queue.push(rank, at)
-    while queue.top:
-        rank, at = queue.pop()
-        if pair[at] != rank:
-            continue
-        gone = after[at]
-        end = after[at] = after[gone]
-        pair[gone] = -2
-        pair[at] = -1
-        if end < n:
-            before[end] = at
-            rank = ranks.get(piece[at:after[end]], -1)
-            if rank >= 0:
-                pair[at] = rank
-                queue.push(rank, at)
-        left = before[at]
-        if left >= 0:
-            rank = ranks.get(piece[left:end], -1)
-            if rank != pair[left]:
-                pair[left] = rank
-                if rank >= 0:
-                    queue.push(rank, left)
-    ids, at = [], 0
-    while at < n:
-        ids.append(ranks[piece[at:after[at]]])
-        at = after[at]
-    return tuple(ids)
-
-
-class _Words(dict):
-    """Ids of a word with the space before it; None for what blanks make irregular."""
-
-    def __init__(self, encode: Callable[[str], tuple[int, ...]], space: str):
-        super().__init__()
-        self.encode, self.space = encode, space
-
-    def __missing__(self, word: str) -> tuple[int, ...] | None:
-        if not word or word[0].isspace() or word[-1].isspace():
-            return None
-        ids = self.encode(self.space + word)
-        if len(word) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[word] = ids
-        return ids
+        rank = (word << 6) + (bits & -bits).bit_length() - 1
+        bits &= bits - 1
+        self.leaf[word] = bits
+        if not bits:
+            self.top = top & (top - 1)
+        bucket = self.buckets.pop(rank)
+        bucket.sort()
+        return rank, bucket
+
+
+class Merger:
+    """Merges of a vocabulary that has all single bytes."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        self.single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
+        self.double = np.full(1 << 16, -1, np.int32)
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.double[token[0] << 8 | token[1]] = rank
+
+    def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """The ids of each pre-token, none of them empty."""
+        data = b"".join(pieces)
+        n = len(data)
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        starts = np.cumsum(lengths) - lengths
+        first = np.zeros(n + 1, np.uint8)
+        first[starts] = 1
+        first[n] = 1
+        flat = np.frombuffer(data, np.uint8).astype(np.int32)
+        pairs = np.full(n, -1, np.int32)
+        pairs[:-1] = np.where(first[1:-1] == 1, -1, self.double[flat[:-1] << 8 | flat[1:]])
+        at = np.flatnonzero(pairs >= 0)
+        at = at[np.argsort(pairs[at], kind="stable")]
+        cuts = np.flatnonzero(np.diff(pairs[at])) + 1
+        for bucket in np.split(at, cuts) if at.size else ():
+            self.queue.push(int(pairs[bucket[0]]), bucket.tolist())
+        bound = first.tobytes()
+        # plain lists are faster, packed ones bound the memory of a very long pre-token
+        pack = list if n <= 16 * TOGETHER else (lambda numbers: array("i", numbers))
+        after, before = pack(range(1, n + 1)), pack(range(-1, n - 1))
+        ids, pair = pack(self.single[flat].tolist()), pack(pairs.tolist())
+        self._run(data, bound, after, before, ids, pair)
+        ids = np.array(ids, np.int32)
+        alive = ids >= 0
+        counts = np.add.reduceat(alive, starts).tolist() if n else []
+        out, ids = [], ids[alive].tolist()
+        done = 0
+        for count in counts:
+            out.append(tuple(ids[done:done + count]))
+            done += count
+        return out
+
+    def _run(self, data: bytes, bound: bytes, after, before, ids, pair) -> None:
+        """Merge until no pair is left. A position merged into its left neighbour gets id -1."""
+        rank_of, queue = self.ranks.get, self.queue
+        buckets, push = queue.buckets, queue.push
+        while queue.top:
+            rank, bucket = queue.pop()
+            for place, at in enumerate(bucket):
+                if pair[at] != rank:            # a neighbour's merge has changed it
+                    continue
+                gone = after[at]
+                end = after[at] = after[gone]
+                ids[at], ids[gone] = rank, -1
+                pair[gone] = -1
+                lowest = rank
+                if bound[end]:
+                    pair[at] = -1
+                else:
+                    before[end] = at
+                    new = pair[at] = rank_of(data[at:after[end]], -1)
+                    if new >= 0:
+                        if new in buckets:
+                            buckets[new].append(at)
+                        else:
+                            push(new, [at])
+                        lowest = min(lowest, new)
+                if not bound[at]:
+                    left = before[at]
+                    new = rank_of(data[left:end], -1)
+                    if new != pair[left]:
+                        pair[left] = new
+                        if new >= 0:
+                            if new in buckets:
+                                buckets[new].append(left)
+                            else:
+                                push(new, [left])
+                            lowest = min(lowest, new)
+                if lowest < rank:               # that one comes first; the others wait
+                    push(rank, bucket[place + 1:])
+                    break
 
 
 class Encoder:
-    """Splits by a pattern, merges each match. Keeps what it has met, within bounds."""
+    """Splits by a pattern, merges each match. Keeps what it has met, within bounds.
+
+    With this pattern a single space between other characters always starts a match, so words
+    between such spaces are looked up whole. Texts with other blanks go by matches alone.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        self.merger = Merger(ranks)
         self.pieces: dict[str, tuple[int, ...]] = {}
-        self.words = _Words(self.by_pattern, " ")
-
-    def piece(self, text: str) -> tuple[int, ...]:
-        ids = self.pieces.get(text)
-        if ids is None:
-            ids = merge(text.encode(), self.ranks, self.queue)
-            if len(text) <= CACHE_CHARS:
-                if len(self.pieces) >= CACHE_ENTRIES:
-                    self.pieces.clear()
-                self.pieces[text] = ids
-        return ids
-
-    def by_pattern(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self.piece, self.split(text))))
+        self.words: dict[str, tuple[int, ...]] = {}
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Ids of pre-tokens not met yet."""
+        waiting, size = [], 0
+        for text in pieces.difference(self.pieces):
+            coded = text.encode()
+            known = self.ranks.get(coded)
+            if known is not None:
+                self.pieces[text] = (known,)
+                continue
+            waiting.append((text, coded))
+            size += len(coded)
+            if size >= TOGETHER:
+                self._merge(waiting)
+                waiting, size = [], 0
+        self._merge(waiting)
+
+    def _merge(self, waiting: list[tuple[str, bytes]]) -> None:
+        if waiting:
+            self.pieces.update(zip((t for t, _ in waiting), self.merger.merged([c for _, c in waiting]), strict=True))
+
+    def encode_all(self, texts: Iterable[str]) -> list[np.ndarray]:
+        for cache in (self.pieces, self.words):
+            if len(cache) >= CACHE_ENTRIES:
+                cache.clear()
+        plans, new_words, new_pieces = [], set(), set()
+        for text in texts:
+            first, *words = text.split(" ")
+            new = set(words).difference(self.words)
+            if (any(not w or w[0].isspace() or w[-1].isspace() for w in new)
+                    or words and (not first or first[-1].isspace())):
+                head, words = self.split(text), []
+            else:
+                head = self.split(first)
+                new_words |= new
+            new_pieces.update(head)
+            plans.append((head, words))
+        parts = {w: self.split(" " + w) for w in new_words}
+        new_pieces.update(*parts.values())
+        self._learn(new_pieces)
+        ids = self.pieces.__getitem__
+        for word, pieces in parts.items():
+            self.words[word] = ids(pieces[0]) if len(pieces) == 1 else tuple(chain.from_iterable(map(ids, pieces)))
+        out = [np.fromiter(chain(chain.from_iterable(map(ids, head)),
+                                 chain.from_iterable(map(self.words.__getitem__, words))), np.int32)
+               for head, words in plans]
+        for cache, met in ((self.pieces, new_pieces), (self.words, new_words)):
+            for long in [x for x in met if len(x) > CACHE_CHARS]:
+                del cache[long]
+        return out
 
     def encode(self, text: str) -> np.ndarray:
-        """With this pattern a single space between other characters always starts a match, so
-        words between such spaces can be looked up whole."""
-        first, *words = text.split(" ")
-        parts = list(map(self.words.__getitem__, words))
-        if None in parts or first[-1:].isspace() or not first and words:
-            return np.array(self.by_pattern(text), np.int32)
-        head = self.by_pattern(first)
-        return np.fromiter(chain(head, chain.from_iterable(parts)), np.int32)
+        return self.encode_all([text])[0]
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -200,17 +261,17 @@ def _encode_batches(shared: Broadcast, decode_too: bool):
         encoder = _encoder(shared)
         table = {rank: token for token, rank in encoder.ranks.items()} if decode_too else {}
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1)
             done, lists, tokens = 0, [], 0
-            for at in range(batch.num_rows):
-                lists.append(encoder.encode(texts[at].as_py()))
-                tokens += len(lists[-1])
-                if tokens >= FLUSH_TOKENS or at == batch.num_rows - 1:
-                    columns = [keys.slice(done, len(lists)), _list_array(lists)]
-                    if decode_too:
-                        columns.append(pa.array([_decode(ids, table) for ids in lists], pa.binary()))
-                    yield pa.RecordBatch.from_arrays(columns, names=names[:len(columns)])
-                    done, lists, tokens = at + 1, [], 0
+            for at in range(0, batch.num_rows, TEXTS):
+                for ids in encoder.encode_all(batch.column(1).slice(at, TEXTS).to_pylist()):
+                    lists.append(ids)
+                    tokens += len(ids)
+                    if tokens >= FLUSH_TOKENS or done + len(lists) == batch.num_rows:
+                        columns = [batch.column(0).slice(done, len(lists)), _list_array(lists)]
+                        if decode_too:
+                            columns.append(pa.array([_decode(each, table) for each in lists], pa.binary()))
+                        yield pa.RecordBatch.from_arrays(columns, names=names[:len(columns)])
+                        done, lists, tokens = done + len(lists), [], 0
 
     names = ["key", "token_ids", "decoded"]
     return run
