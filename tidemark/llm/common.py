@@ -25,10 +25,32 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     these tables hold texts and live as long as their folder does.
     """
     folder = fresh_folder(df.sparkSession, label)
+    _SCRATCH.setdefault(df.sparkSession.sparkContext.applicationId, []).append(folder)
     df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+_SCRATCH: dict[str, list[str]] = {}     # folders by application
+_INPUTS: dict[str, set[str]] = {}       # files that the stage before read
+
+
+def release_scratch(spark: SparkSession, docs: DataFrame) -> None:
+    """Delete the tables that earlier stages wrote for themselves.
+
+    Only if ``docs`` lies in other files than those tables and than the input of the stage
+    before: then that stage's result has been written and read again, and nothing needs them.
+    """
+    application, files = spark.sparkContext.applicationId, set(docs.inputFiles())
+    folders = _SCRATCH.setdefault(application, [])
+    own = any(f.rsplit("/", 2)[-1] in file for f in folders for file in files)
+    if files and not own and not files & _INPUTS.get(application, set()):
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        folders.clear()
+    _INPUTS[application] = files
+
+
 def numbered(docs: DataFrame, label: str) -> DataFrame:
     """Columns ``row`` (unique) and ``doc`` (all columns of ``docs`` as a struct), written once.
 
