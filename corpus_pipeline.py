@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe, exact_dedup, mixing, near_dedup, toxicity
-from tidemark.llm.common import materialise, read
+from tidemark.llm.common import read, release_scratch
+from tidemark.session import fresh_folder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -40,12 +42,22 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, bpe.share_ranks(spark, VOCABULARY, public_tokenizers.PATTERN))
 
 
+def _tidy(stage: Stage) -> Stage:
+    """The stage, after what earlier ones left in the shared folder has been deleted."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release_scratch(spark, docs)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", drop_toxic),
-    ("exact_dedup", drop_copies),
-    ("minhash_near_dedup", drop_near_copies),
-    ("mixing", mix_sources),
-    ("byte_bpe", tokenise),
+    ("toxicity", _tidy(drop_toxic)),
+    ("exact_dedup", _tidy(drop_copies)),
+    ("minhash_near_dedup", _tidy(drop_near_copies)),
+    ("mixing", _tidy(mix_sources)),
+    ("byte_bpe", _tidy(tokenise)),
 ]
 
 # a trained network decides which documents go on, which SQL cannot express
@@ -56,5 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each result written and read again as the next one's input."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        folder = fresh_folder(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(folder)
+        docs = spark.read.parquet(folder)
     return STAGES[-1][1](spark, docs, sf_dir)
