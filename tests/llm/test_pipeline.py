@@ -57,12 +57,26 @@ def test_against_plain_python(spark, small):
     assert sorted(g for g in got if g[0] in (90_004, 90_005)) == sorted(w for w in want if w[0] > 90_003)
 
 
+def test_scratch_goes_once_a_result_is_written(spark, small, tmp_path):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    one, two = (stages["exact_dedup"](spark, docs, small) for _ in range(2))
+    assert one.count() == two.count()           # both still readable: nothing was written between
+    mixed = stages["mixing"](spark, one, small)
+    assert mixed.count() and one.count()        # lazily chained: still readable
+    one.write.parquet(f"{tmp_path}/one")
+    again = stages["exact_dedup"](spark, spark.read.parquet(f"{tmp_path}/one"), small)
+    assert again.count() == spark.read.parquet(f"{tmp_path}/one").count()
+    with pytest.raises(Exception):
+        one.count()
+
+
 def test_every_stage_takes_what_the_one_before_kept(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, small)
         assert out.columns == docs.columns
-        assert out.select("doc_id").exceptAll(out.select("doc_id").distinct()).count() == 0 or stage is corpus_pipeline.mix_sources
+        assert out.select("doc_id").exceptAll(out.select("doc_id").distinct()).count() == 0 or stage.__wrapped__ is corpus_pipeline.mix_sources
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, small).count() == 0
