@@ -4,10 +4,11 @@ Two collections of ``m`` short hashes, each of ``ROWS`` minhashes, give ``m * m`
 every pair of one from each side. ``2 * m * ROWS`` minhashes do the work of ``m * m * 2 * ROWS``.
 Candidates of a shared key are confirmed on their full shingle sets.
 
-Documents with equal sets are one class first, so copies cost nothing further. In each
-bucket all members are compared with the least one; buckets whose members are then still
-in more than one component are compared member by member, in blocks of bounded size. So
-no link is lost within a bucket, and no dense group is ever compared pair by pair.
+Documents with equal sets are one class first, so copies cost nothing further. The members of
+each bucket are compared with its least one, the lead. Where those of one lead are then still in
+more than one component, they are compared with each other in blocks of bounded size, by how
+each differs from the lead. So no link within a bucket is lost, all pairs of a group are never
+listed, and only links that connect something new come out of a block.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ WORDS, PERCENT = 5, 80
 ROWS = 2                    # minhashes of one hash of a collection
 MISS = 1e-4                 # chance, at most, that a pair just at the threshold shares no key
 BLOCK = 256                 # members of a block
+FAIR = 30                   # percent shared with a lead from which the difference is kept
 CACHE_WORDS = 300_000
 SEED = 20_011
 
@@ -132,96 +134,153 @@ def _keys(signature: Column, m: int) -> Column:
 
     each = F.sequence(F.lit(0), F.lit(m - 1))
     return F.flatten(F.transform(each, lambda i: F.transform(
-        each, lambda j: F.struct((i * m + j).alias("table"),
-                                 F.xxhash64(i, j, entry(0, i), entry(1, j)).alias("key")))))
+        each, lambda j: F.xxhash64(i, j, entry(0, i), entry(1, j)))))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets are alike enough."""
+    """The pairs ``a, b`` with their sizes, what they share, and whether that is enough.
+
+    Where a fair part is shared, ``missing`` and ``extra`` say how the set of b differs from that
+    of a. A merge join at every size, as sets of all documents may come.
+    """
     a = sets.select(F.col("row").alias("a"), F.col("members").alias("set_a"))
     b = sets.select(F.col("row").alias("b"), F.col("members").alias("set_b"))
-    joined = (pairs.hint("merge").join(b, "b").hint("merge").join(a, "a")
-              .select("a", "b", F.size(F.array_intersect("set_a", "set_b")).alias("common"),
-                      (F.size("set_a") + F.size("set_b")).alias("sizes")))
-    alike = joined.where(100 * F.col("common") >= percent * (F.col("sizes") - F.col("common")))
-    return materialise(alike.select("a", "b"), "near-links")
+    both = (pairs.hint("merge").join(b, "b").hint("merge").join(a, "a")
+            .withColumns({"size_a": F.size("set_a"), "size_b": F.size("set_b"),
+                          "common": F.size(F.array_intersect("set_a", "set_b"))}))
+    union = F.col("size_a") + F.col("size_b") - F.col("common")
+    fair = 100 * F.col("common") >= FAIR * union
+    return materialise(both.select(
+        "a", "b", "size_a", "size_b", "common", (100 * F.col("common") >= percent * union).alias("alike"),
+        F.when(fair, F.array_except("set_a", "set_b")).alias("missing"),
+        F.when(fair, F.array_except("set_b", "set_a")).alias("extra")), "near-judged")
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many numbers each of the left lists has in common with each of the right lists."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    for at in range(0, len(both), 4096):
+        columns = both[at:at + 4096]
+        tables = []
+        for side in (left, right):
+            table = np.zeros((len(side), len(columns)), np.float32)
+            for x, numbers in enumerate(side):
+                table[x, np.searchsorted(columns, numbers[np.isin(numbers, columns)])] = 1
+            tables.append(table)
+        out += tables[0] @ tables[1].T
+    return out
 
 
 def _block_pairs(m: int, percent: int):
-    """Pairs of a block that may be linked: not yet connected, of fitting size, with signatures
-    alike, and not met under an earlier key. Members of the two sides are compared."""
+    """Links inside a block of what shares a bucket with the same lead.
+
+    The sets of members close to the lead are known from the lead's, so these are compared at
+    once, and ``sure`` links are given that connect what was not connected, not all. Other pairs
+    are given to be compared, if signatures, sizes and distances from the lead allow a link.
+    """
     # a pair at the threshold falls below this many agreeing minhashes with chance under 1e-6
-    count = 2 * m * ROWS
-    share = percent / 100
+    count, share = 2 * m * ROWS, percent / 100
     enough = math.floor(count * share - 5.5 * math.sqrt(count * share * (1 - share)))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        table = int(frame["table"].iat[0])
         left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
         same = left.empty or right.empty
         if same:
             left = right = frame
-        sig_l, sig_r = np.stack(left["signature"]), np.stack(right["signature"])
-        n_r, comp_r = right["n_shingles"].to_numpy(), right["component"].to_numpy()
-        row_l, row_r = left["row"].to_numpy(), right["row"].to_numpy()
+        n_l, n_r = left["size_b"].to_numpy()[:, None], right["size_b"].to_numpy()[None]
+        fit = (left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None]) & (
+            100 * np.minimum(n_l, n_r) >= percent * np.maximum(n_l, n_r))
+        if same:
+            fit &= np.triu(np.ones(fit.shape, bool), 1)
+        near_l, near_r = left["missing"].notna().to_numpy(), right["missing"].notna().to_numpy()
         found = []
-        for x, (n, comp) in enumerate(zip(left["n_shingles"], left["component"], strict=True)):
-            fit = (comp_r != comp) & (100 * np.minimum(n, n_r) >= percent * np.maximum(n, n_r))
-            if same:
-                fit[:x + 1] = False
-            at = np.flatnonzero(fit)
-            if not at.size:
-                continue
-            agree = sig_r[at] == sig_l[x]
-            ok = agree.sum(axis=1) >= enough
-            at, agree = at[ok], agree[ok]
-            entries = agree.reshape(len(at), 2, m, ROWS).all(axis=3)
-            at = at[entries[:, 0].argmax(axis=1) * m + entries[:, 1].argmax(axis=1) == table]
-            found.append(np.stack([np.full(at.size, row_l[x]), row_r[at]]))
-        pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-        return pd.DataFrame({"a": pairs.min(axis=0), "b": pairs.max(axis=0)})
+        if near_l.any() and near_r.any():
+            at_l, at_r = np.flatnonzero(near_l), np.flatnonzero(near_r)
+            lists = [[np.asarray(v) for v in side[c].iloc[at]] for side, at in ((left, at_l), (right, at_r))
+                     for c in ("missing", "extra")]
+            gone_l, gone_r = (np.array([len(v) for v in lists[k]]) for k in (0, 2))
+            common = (int(frame["size_a"].iat[0]) - gone_l[:, None] - gone_r[None]
+                      + _shared(lists[0], lists[2]) + _shared(lists[1], lists[3]))
+            cell = np.ix_(at_l, at_r)
+            union = n_l[at_l] + n_r[:, at_r] - common
+            linked = np.argwhere((100 * common >= percent * union) & fit[cell])
+            found += _joining(at_l[linked[:, 0]], at_r[linked[:, 1]], left["component"].to_numpy(),
+                              right["component"].to_numpy())
+            fit[cell] = False
+        away = [1 - c / (c_a + c_b - c) for c, c_a, c_b in
+                ((side["common"].to_numpy(), side["size_a"].to_numpy(), side["size_b"].to_numpy())
+                 for side in (left, right))]
+        fit &= np.abs(away[0][:, None] - away[1][None]) <= 1 - share + 1e-9
+        sure = len(found)
+        sig_r = np.stack(right["signature"])
+        for x, signature in enumerate(left["signature"]):
+            at = np.flatnonzero(fit[x])
+            if at.size:
+                found += [(x, y) for y in at[(sig_r[at] == signature).sum(axis=1) >= enough]]
+        rows_l, rows_r = left["b"].to_numpy(), right["b"].to_numpy()
+        pairs = np.array([sorted((rows_l[x], rows_r[y])) for x, y in found], np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "sure": np.arange(len(pairs)) < sure})
 
     return run
 
 
+def _joining(at_l: np.ndarray, at_r: np.ndarray, parts_l: np.ndarray, parts_r: np.ndarray) -> list[tuple[int, int]]:
+    """Those of the links that join parts which the ones before left apart."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    for x, y in zip(at_l, at_r, strict=True):
+        one, other = root(parts_l[x]), root(parts_r[y])
+        if one != other:
+            parent[one] = other
+            out.append((x, y))
+    return out
+
+
 def _links(reps: DataFrame, base: DataFrame, words: int, percent: int, m: int) -> DataFrame | None:
     """Links between classes that connect all that are alike; None if there is no candidate."""
-    keyed = reps.select("row", F.explode(_keys(F.col("signature"), m)).alias("k")).select("row", "k.table", "k.key")
+    keyed = reps.select("row", F.explode(_keys(F.col("signature"), m)).alias("key"))
     buckets = materialise(keyed.groupBy("key").agg(F.min("row").alias("lead"), F.count("*").alias("members"))
                           .where("members > 1"), "near-buckets")
-    met = materialise(keyed.join(buckets, "key"), "near-members")
-    stars = materialise(met.where("row <> lead").select(F.col("lead").alias("a"), F.col("row").alias("b")).distinct(),
-                        "near-stars")
+    stars = materialise(keyed.join(buckets, "key").where("row <> lead")
+                        .select(F.col("lead").alias("a"), F.col("row").alias("b")).distinct(), "near-stars")
     if stars.isEmpty():
         return None
     # the sets of all that share a bucket. A merge join at every size: their number grows
-    wanted = met.select("row").distinct()
+    wanted = stars.select(F.col("a").alias("row")).unionByName(stars.select(F.col("b").alias("row"))).distinct()
     sets = materialise(base.select("row", whole("doc.text").alias("text"))
                        .join(wanted.hint("merge"), "row", "left_semi")
                        .mapInArrow(_sets(words), "row long, members array<long>"), "near-sets")
-    links = _confirmed(stars, sets, percent)
-    # buckets that the stars left in several parts; pairs with the lead are done
+    judged = _confirmed(stars, sets, percent)
+    links = judged.where("alike").select("a", "b")
+    # what shares a lead but is not all connected yet; pairs with the lead are done
     parts = components(links)
-    placed = materialise(met.join(parts, F.col("row") == F.col("node"), "left").where("members > 2").select(
-        "key", "table", "row", "lead", F.coalesce("component", "row").alias("component")), "near-placed")
+    placed = materialise(judged.join(parts, F.col("b") == F.col("node"), "left")
+                         .withColumn("component", F.coalesce("component", "b")).drop("node"), "near-placed")
     spread = materialise(
-        placed.where("row <> lead").groupBy("key")
+        placed.groupBy("a")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rest"))
-        .where("low <> high").select("key", F.ceil(F.col("rest") / BLOCK).cast("int").alias("blocks")), "near-spread")
+        .where("low <> high").select("a", F.ceil(F.col("rest") / BLOCK).cast("int").alias("blocks")), "near-spread")
     if spread.isEmpty():
         return links
-    mine = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
-    with_all = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
+    signatures = reps.select(F.col("row").alias("b"), "signature")
+    mine = F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
         F.least(other, F.col("mine")).alias("first"), F.greatest(other, F.col("mine")).alias("second"),
         (F.col("mine") > other).cast("int").alias("side")))
-    members = (placed.where("row <> lead").join(spread, "key")
-               .join(reps.select("row", "n_shingles", "signature"), "row")
-               .withColumn("mine", mine)
-               .select("key", "table", "row", "component", "n_shingles", "signature", F.explode(with_all).alias("cell"))
-               .select("key", "table", "row", "component", "n_shingles", "signature", "cell.*"))
-    pairs = materialise(members.groupBy("key", "table", "first", "second")
-                        .applyInPandas(_block_pairs(m, percent), "a long, b long").distinct(), "near-pairs")
-    return links.unionByName(_confirmed(pairs, sets, percent))
+    members = (placed.join(spread, "a").join(signatures, "b").withColumn("mine", mine)
+               .withColumn("cell", F.explode(cells)).select(*placed.columns, "signature", "cell.*"))
+    pairs = materialise(members.groupBy("a", "first", "second")
+                        .applyInPandas(_block_pairs(m, percent), "a long, b long, sure boolean"), "near-pairs")
+    links = links.unionByName(pairs.where("sure").select("a", "b"))
+    unsure = pairs.where("NOT sure").select("a", "b").distinct()
+    return links.unionByName(_confirmed(unsure, sets, percent).where("alike").select("a", "b"))
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, miss: float = MISS
