@@ -50,6 +50,23 @@ def test_silence_needs_more_than_the_limit(spark):
     assert values(out, "seconds") == [(2189.0,)]
 
 
+def test_a_silence_that_goes_on(spark):
+    df = log(spark, [0, 10])
+    last = df.agg(F.max("ts")).first()[0]
+    assert R.silences(df).count() == 0
+    for minutes, found in ((31, 1), (29, 0)):
+        asked = F.lit(last) + F.expr(f"interval {minutes} minutes")
+        assert values(R.silences(df, until=asked), "seconds") == [(minutes * 60.0,)] * found
+
+
+def test_exact_latency_at_rank(spark):
+    rows = [(T0, "/p", "success", float(i % 977), "RED") for i in range(20_000)] + [(T0, "/p", "success", None, "RED")]
+    r = R.latency_at_rank(spark.createDataFrame(rows, LOG)).first()
+    every = sorted(x[3] for x in rows[:-1])
+    assert r["requests"] == 20_001
+    assert [r["p50"], r["p95"], r["p99"]] == [every[9_999], every[18_999], every[19_799]]
+
+
 def test_bursts(spark):
     df = log(spark, [0, 60, 120, 180])
     assert R.bursts(df, ["endpoint"]).agg(F.max("increase")).first()[0] == 4

@@ -75,9 +75,32 @@ def latency_quantiles(log: DataFrame, by: Sequence[str] = (), length: str = "5 m
             .drop(*[f"le_{i}" for i in range(len(edges))]))
 
 
+def latency_at_rank(log: DataFrame, by: Sequence[str] = (), length: str = "5 minutes",
+                    quantiles: Sequence[float] = (.5, .95, .99)) -> DataFrame:
+    """Latency quantiles at the rank over tumbling windows, exact at any size.
+
+    Rows are counted per (window, key, latency) first, with partial sums; running counts then
+    go over the distinct latencies of one window, and rows without a latency count as requests only.
+    """
+    keys = ["_w", *by]
+    cells = (log.groupBy(F.window("ts", length).alias("_w"), *by, "latency_seconds")
+             .agg(F.count("*").alias("_n"), F.count("latency_seconds").alias("_m")))
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("latency_seconds").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = cells.withColumns({"_upto": F.sum("_m").over(upto), "_all": F.sum("_m").over(group)})
+    def at(q: float) -> Column:
+        rank = F.col("_all") - F.floor(F.col("_all") - F.col("_all") * F.lit(q))
+        return F.min(F.when((F.col("_m") > 0) & (F.col("_upto") >= rank), F.col("latency_seconds")))
+
+    points = [at(q).alias(f"p{round(q * 100)}") for q in quantiles]
+    return (ranked.groupBy(*keys).agg(F.sum("_n").alias("requests"), *points)
+            .select(F.col("_w.start").alias("window_start"), *by, "requests",
+                    *[f"p{round(q * 100)}" for q in quantiles]))
+
+
 def sketched_latency(log: DataFrame, by: Sequence[str] = (), length: str = "5 minutes",
                      quantiles: Sequence[float] = (.5, .95, .99)) -> DataFrame:
-    """Latency quantiles at the rank over tumbling windows, from sketches of fixed size."""
+    """Approximate latency quantiles over tumbling windows, from sketches of fixed size."""
     points = F.percentile_approx("latency_seconds", F.array(*[F.lit(q) for q in quantiles]), 10000)
     return (log.groupBy(F.window("ts", length).alias("_w"), *by)
             .agg(F.count("*").alias("requests"), points.alias("_p"))
@@ -92,15 +115,19 @@ def counts_per(log: DataFrame, by: str, length: str = "1 hour") -> DataFrame:
             .select(F.col("_w.start").alias("window_start"), by, "count"))
 
 
-def silences(log: DataFrame, minutes: int = 30, by: Sequence[str] = ()) -> DataFrame:
+def silences(log: DataFrame, minutes: int = 30, by: Sequence[str] = (),
+             until: Column | None = None) -> DataFrame:
     """Stretches longer than ``minutes`` without a row, per key: (silent_from, silent_until, seconds).
 
+    With ``until``, the time of asking, a silence that is still going on counts up to then.
     Rows are reduced to first and last time per (key, minute) before the ordered
     window, which then holds one row per minute of the calendar at most.
     """
     cells = (log.where(F.col("ts").isNotNull()).groupBy(F.date_trunc("minute", "ts").alias("_m"), *by)
              .agg(F.min("ts").alias("_first"), F.max("ts").alias("_last")))
     following = F.lead("_first").over(Window.partitionBy(*(by or [F.lit(0)])).orderBy("_m"))
+    if until is not None:
+        following = F.coalesce(following, until.cast("timestamp"))
     gap = (F.unix_micros("silent_until") - F.unix_micros("silent_from")) / 1e6
     return (cells.select(*by, F.col("_last").alias("silent_from"), following.alias("silent_until"))
             .withColumn("seconds", gap).where(F.col("seconds") > minutes * 60))

@@ -548,7 +548,7 @@ SELECT strftime(time_bucket(INTERVAL 5 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS wind
        quantile_disc(latency_seconds, 0.5) AS p50, quantile_disc(latency_seconds, 0.95) AS p95,
        quantile_disc(latency_seconds, 0.99) AS p99 FROM request_log GROUP BY 1""")
 def _(spark, d):
-    return stamped(requests.sketched_latency(given.request_log(spark, d)), "window_start")
+    return stamped(requests.latency_at_rank(given.request_log(spark, d)), "window_start")
 
 
 @query("obs_counts_1h", """
