@@ -157,7 +157,7 @@ def score_alerts(scores: DataFrame, baseline_means: DataFrame | None = None) ->
             F.struct(F.lit(h).alias("horizon"), F.col(f"m{h}").alias("now")) for h in HORIZONS])))
         shift = F.try_divide(F.col("now"), F.col("mean_probability")) - 1
         alerts = alerts.unionByName(
-            now.join(F.broadcast(baseline_means.select("horizon", "mean_probability")), "horizon")
+            baseline_means.select("horizon", "mean_probability").join(F.broadcast(now), "horizon")
             .select(F.lit("mean_shift").alias("code"), F.col("horizon").cast("int"),
                     shift.alias("value"),
                     F.format_string("%dd mean prediction moved by %+.1f%%", F.col("horizon"),
