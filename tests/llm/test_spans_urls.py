@@ -170,5 +170,23 @@ def test_thin_and_similar_branches_become_wildcards(spark):
     assert templates["http://h/c/x"] == "/c/x"
 
 
+def test_labels_reach_templates_without_any(spark):
+    rules = (url_filter.Rule("bad.example", "/a/", "block"), url_filter.Rule("bad.example", "/b/", "block"),
+             url_filter.Rule("big.org", "/a/", "block"), url_filter.Rule("10.0.0.1", "/", "block"))
+    urls = [f"http://{h}.bad.example/{s}/{n}" for h in ("x", "y") for s in "ab" for n in range(3)]
+    urls += ["http://x.bad.example/c/new", "http://z.bad.example/new", "http://big.org/a/1", "http://big.org/c/1"]
+    urls += [f"http://big.org/a/{n}" for n in range(50)] + ["http://10.0.0.1/q", "http://99.9.0.1/q", None]
+    deep = "http://x.bad.example/c/" + "/".join("pqrstuvwxyz")
+    urls += [deep, "http://x.bad.example/" + "p/" * 3000]
+    rows = list(enumerate(urls))
+    got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()
+    by_url = {urls[r.page_id]: r for r in got}
+    assert by_url["http://x.bad.example/c/new"].rule is None and by_url["http://x.bad.example/c/new"].verdict == "block"
+    assert by_url["http://z.bad.example/new"].verdict == "block"      # its parent domain
+    assert by_url["http://big.org/c/1"].verdict == "allow"            # one large branch is one branch
+    assert by_url["http://99.9.0.1/q"].verdict == by_url[None].verdict == "allow"
+    assert by_url[deep].template == "/c/" + "/".join("pqrstuvwxyz") and by_url[deep].verdict == "block"
+
+
 def test_no_pages(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
