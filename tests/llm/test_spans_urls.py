@@ -82,6 +82,15 @@ def test_random_looking_tokens_are_added(spark):
     assert all(got[i] == "" for i in range(20))
 
 
+def test_short_tokens_and_parts_without_long_samples(spark):
+    texts = [f"the ordinary words of a report from 2024-01-{d} about internationalization" for d in range(10, 29)]
+    texts += ["found t8Rv3NqYp5Wc in it", "AWS_SECRET_ACCESS_KEY=q7Zk29XwLm4TbV8sRf1Gy6Hd3Jn5"]
+    got = {r.doc_id: r.spans for r in secrets.digest(secrets.find_secrets(frame(spark, texts)[0])).collect()}
+    assert got[len(texts) - 2] == "random:6:18"
+    assert any(s.startswith("random:") and s.endswith(f":{len(texts[-1])}") for s in got[len(texts) - 1].split(","))
+    assert all(got[i] == "" for i in range(19))
+
+
 def test_personal(spark, texts):
     docs, rows = frame(spark, texts)
     got = pii.digest(pii.find_personal(docs)).collect()

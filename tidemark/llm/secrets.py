@@ -1,8 +1,8 @@
 """Secret scan: known forms, and strings that look random to character Markov models.
 
-Two models of character transitions are counted over the whole corpus from labelled
-samples: strings in known secret forms against ordinary identifiers. A long token that fits
-the first model clearly better is reported too. Column expressions and aggregates only.
+Two models of character transitions are counted over the whole corpus: strings in known secret
+forms against all words and identifiers outside them. A token, or a part of one, that fits the
+first model clearly better is reported too. Column expressions and aggregates only.
 """
 
 from __future__ import annotations
@@ -22,14 +22,18 @@ ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["'
           r"""([A-Za-z0-9+/_.=-]+)""")
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+WORD = r"[A-Za-z0-9+/_=-]{2,}+"
+TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{10,}+"
+PART = r"(?<![A-Za-z0-9+-])[A-Za-z0-9+-]{10,}+"     # between = / _ and what ends a token
 LEAST_ASSIGNED = 6
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-# prior count of a character, and of a character's transitions
-RARE, LEAN = 0.1, 10.0
-# mean log-likelihood ratio of a transition, in nats, from which a token is reported
-THRESHOLD = 1.0
+# share of the even distribution in a character's chance, whatever the corpus' size, and prior
+# count of a character's transitions
+EVEN, LEAN = 0.01, 10.0
+# mean log-likelihood ratio of a transition, in nats, from which a token is reported; below so many
+# characters it rises with the spread of the mean
+THRESHOLD, FULL_LENGTH = 1.0, 20
 
 
 def _span(kind: int, h: Column) -> Column:
@@ -46,33 +50,36 @@ def known_forms(text: Column) -> Column:
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, base, tokens``: known forms, and long tokens outside them. One look at the texts.
+    """``key, base, tokens, parts``: known forms, and tokens and their parts outside them.
 
     Null texts are empty. Every row is kept as it is, repeated or not, whatever its key.
     """
     first = docs.select(docs[quoted(key)].alias("key"), whole(docs[quoted(text)]).alias("text"))
-    found = first.select("key", known_forms(F.col("text")).alias("base"), hits(F.col("text"), TOKEN).alias("tokens"))
-    # what no row matched costs nothing further; the table is small beside the texts
-    table = materialise(found.select("key", "base", F.transform("tokens", lambda h: F.struct(
-        h["start"].alias("start"), h["end"].alias("end"), h["value"].alias("value"))).alias("tokens")), "secrets")
-    return table.select("key", "base", F.filter("tokens", lambda t: ~overlaps(t, F.col("base"))).alias("tokens"))
+    def places(found: Column) -> Column:
+        return F.transform(found, lambda h: F.struct(
+            h["start"].alias("start"), h["end"].alias("end"), h["value"].alias("value")))
 
+    # the table is small beside the texts
+    table = materialise(first.select(
+        "key", known_forms(F.col("text")).alias("base"), places(hits(F.col("text"), TOKEN)).alias("tokens"),
+        places(hits(F.col("text"), PART)).alias("parts")), "secrets")
+    return table.withColumns({c: F.filter(c, lambda t: ~overlaps(t, F.col("base"))) for c in ("tokens", "parts")})
 
-def transition_counts(scanned: DataFrame) -> DataFrame:
-    """``random, pair, n`` over all labelled samples: at most two rows per pair of characters.
 
-    Secret parts of known forms are samples of random strings; long tokens without a digit, in no
-    known form, are samples of ordinary identifiers.
+def transition_counts(docs: DataFrame, scanned: DataFrame, text: str = "text") -> DataFrame:
+    """``random, pair, n`` over the whole corpus: at most two rows per pair of characters.
+
+    Secret parts of known forms are samples of random strings; all words and identifiers outside
+    known forms, digits included, are samples of ordinary ones. Words are counted before pairs.
     """
     random = scanned.select(F.lit(True).alias("random"), F.explode("base.value").alias("sample"))
-    ordinary = scanned.select(F.lit(False).alias("random"), F.explode(F.filter(
-        "tokens.value", lambda v: ~v.rlike("[0-9]"))).alias("sample"))
-    each = (random.unionByName(ordinary).where(F.length("sample") > 1)
-            .select("random", F.explode(F.transform(
-                F.sequence(F.lit(1), F.length("sample") - 1), lambda i: F.substr(F.col("sample"), i, F.lit(2))))
-                .alias("pair")))
-    usable = F.col("pair").rlike(r"^[A-Za-z0-9+/_=-]{2}$")
-    return each.where(usable).groupBy("random", "pair").agg(F.count("*").alias("n"))
+    rest = F.regexp_replace(whole(docs[quoted(text)]), f"{ASSIGN}|{ACCESS}|{HEX}", " ")
+    ordinary = docs.select(F.lit(False).alias("random"),
+                           F.explode(F.regexp_extract_all(rest, F.lit(WORD), F.lit(0))).alias("sample"))
+    samples = random.unionByName(ordinary).groupBy("random", "sample").agg(F.count("*").alias("times"))
+    pairs = F.regexp_extract_all("sample", F.lit("(?=([A-Za-z0-9+/_=-]{2}))"), F.lit(1))
+    return (samples.select("random", "times", F.explode(pairs).alias("pair"))
+            .groupBy("random", "pair").agg(F.sum("times").alias("n")))
 
 
 def log_ratios(counts: DataFrame) -> list[float]:
@@ -80,19 +87,20 @@ def log_ratios(counts: DataFrame) -> list[float]:
 
     A transition's chance leans on how common its second character is, the less the more often its
     first one was seen. Half of the random model is the even distribution: the known secrets may
-    be of one sort only, other random strings use any character. No samples, no evidence: zeros.
+    be of one sort only, other random strings use any character; without any it is all of it. No
+    ordinary sample, no evidence: zeros.
     """
     size = len(ALPHABET)
     seen = {True: {}, False: {}}
     for random, pair, n in counts.collect():
-        seen[random][pair] = n
-    if not seen[True] or not seen[False]:
+        seen[random][pair] = n if random else n - 1     # a token is no witness for itself
+    if not seen[False]:
         return [0.0] * (size * size)
     single = {}
     for r, pairs in seen.items():
         total = sum(pairs.values())
-        single[r] = {b: (sum(pairs.get(a + b, 0) for a in ALPHABET) + RARE) / (total + RARE * size)
-                     for b in ALPHABET}
+        single[r] = {b: (1 - EVEN) * sum(pairs.get(a + b, 0) for a in ALPHABET) / total + EVEN / size
+                     if total else 1 / size for b in ALPHABET}
     out = []
     for a in ALPHABET:
         row = {r: sum(seen[r].get(a + b, 0) for b in ALPHABET) for r in seen}
@@ -116,21 +124,26 @@ def mean_ratio(value: Column, ratios: list[float]) -> Column:
     return total / (F.length(value) - 1)
 
 
+def looks_random(token: Column, ratios: list[float], threshold: float = THRESHOLD) -> Column:
+    short = F.sqrt(F.greatest(F.lit(1.0), FULL_LENGTH / F.length(token["value"])))
+    return mean_ratio(token["value"], ratios) >= threshold * short
+
+
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``key, base, spans`` of each row: known forms, and those with the random-looking tokens.
 
-    A span is ``kind`` (index of `KINDS`), ``start``, ``end``. Without samples of either sort
-    there is no evidence and no token is reported.
+    A span is ``kind`` (index of `KINDS`), ``start``, ``end``. Parts are reported where the whole
+    token does not look random.
     """
     scanned = scan(docs, key, text)
-    counts = transition_counts(scanned)
-    ratios = log_ratios(counts)
+    ratios = log_ratios(transition_counts(docs, scanned, text))
     plain = "array<struct<kind:int,start:int,end:int>>"
     base = F.transform("base", lambda s: s.dropFields("value")).cast(plain)
-    extra = F.transform(
-        F.filter("tokens", lambda t: mean_ratio(t["value"], ratios) >= threshold),
-        lambda t: F.struct(F.lit(3).alias("kind"), t["start"].alias("start"), t["end"].alias("end"))).cast(plain)
-    return scanned.select(F.col("key").alias(key), base.alias("base"), F.concat(base, extra).alias("spans"))
+    judged = scanned.select("key", "base", "parts", F.filter("tokens", lambda t: looks_random(t, ratios, threshold)).alias("whole"))
+    parts = F.filter("parts", lambda t: ~overlaps(t, F.col("whole")) & looks_random(t, ratios, threshold))
+    extra = F.transform(F.concat("whole", parts), lambda t: F.struct(
+        F.lit(3).alias("kind"), t["start"].alias("start"), t["end"].alias("end"))).cast(plain)
+    return judged.select(F.col("key").alias(key), base.alias("base"), F.concat(base, extra).alias("spans"))
 
 
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
