@@ -11,22 +11,53 @@ from tidemark import contract
 from tidemark.contract import ENTITY, HORIZONS, OBSERVED, probability_name
 from tidemark.functions.columns import month_key
 from tidemark.operators.evaluation import ranking_metrics, score_histogram
-from tidemark.operators.quantiles import edges_frame, exact_quantiles, long_values
+from tidemark.operators.quantiles import edges_frame, exact_quantiles, long_values, values_at_rank
 from tidemark.operators.temporal import horizon_labels
 
+QUARTILES = (.25, .5, .75)
+
+
 def feature_profile(df: DataFrame, features: Sequence[str],
                     slices: Sequence[str] = ("technology", "sales_channel"),
-                    date: str = OBSERVED, accuracy: int = 10000) -> DataFrame:
+                    date: str = OBSERVED) -> DataFrame:
     """(month, slice_key, slice_value, feature, statistics), overall and per slice.
 
-    One pass: each row is aggregated wide for all features under grouping sets,
-    and only the finished groups are turned long. Quartiles are sketches of
-    fixed size: the value at the rank, exact for groups below ``accuracy`` rows.
+    Each row is aggregated wide for all features under grouping sets, and only the finished
+    groups are turned long. Quartiles are the values at the rank, exact at any size, from counts
+    per (month, slice, feature, value).
     """
+    found = _profile(df, features, slices, date, None)
+    names = [c for c in found.columns if c not in ("p25", "median", "p75")]
+    group = F.struct("month", "slice_key", "slice_value", "feature").alias("_group")
+    month = month_key(date).alias("month")
+    each = (long_values(df.withColumns({"_month": month, "_slices": F.struct(*slices)}), features, ["_month", "_slices"])
+            .where(F.col("value").isNotNull()).groupBy("_month", "_slices", "feature", "value")
+            .agg(F.count("*").alias("n")))
+    sliced = F.array(F.struct(F.lit("all").alias("slice_key"), F.lit("all").alias("slice_value")), *[
+        F.struct(F.lit(s).alias("slice_key"), F.col("_slices")[s].cast("string").alias("slice_value")) for s in slices])
+    counted = (each.select(F.col("_month").alias("month"), "feature", "value", "n", F.inline(sliced))
+               .groupBy(group, "value").agg(F.sum("n").alias("n")))
+    points = values_at_rank(counted, "_group", "value", "n", QUARTILES)
+    return (found.select(*names).withColumn("_group", group).join(points, "_group", "left")
+            .select(*[F.col("points")[("p25", "median", "p75").index(c)].alias(c) if c not in names else c
+                      for c in found.columns]))
+
+
+def sketched_profile(df: DataFrame, features: Sequence[str],
+                     slices: Sequence[str] = ("technology", "sales_channel"),
+                     date: str = OBSERVED, accuracy: int = 10000) -> DataFrame:
+    """`feature_profile` in one pass, with approximate quartiles from sketches of fixed size."""
+    return _profile(df, features, slices, date, accuracy)
+
+
+def _profile(df: DataFrame, features: Sequence[str], slices: Sequence[str], date: str,
+             accuracy: int | None) -> DataFrame:
+    """The statistics of each group; without an accuracy the quartiles are null."""
     stats = []
     for f in features:
         v = F.col(f).cast("double")
-        points = F.percentile_approx(v, F.array(F.lit(.25), F.lit(.5), F.lit(.75)), accuracy)
+        points = (F.lit(None).cast("array<double>") if accuracy is None else
+                  F.percentile_approx(v, F.array(*[F.lit(q) for q in QUARTILES]), accuracy))
         stats.append(F.struct(F.count(v).alias("count"),
                               F.avg(F.when(v.isNull(), 1.0).otherwise(0.0)).alias("null_rate"),
                               F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),

@@ -6,7 +6,7 @@ import math
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import clip
@@ -151,6 +151,39 @@ def quantile_bin(df: DataFrame, columns: Mapping[str, str], n: int = 10,
     return df.withColumns(held).withColumns(bins).drop(*held)
 
 
+def values_at_rank(counted: DataFrame, group: str, value: str, n: str, points: Sequence[float],
+                   cells: int = _CELLS) -> DataFrame:
+    """(group, points): per group the values at the ranks of the points, exact at any size.
+
+    ``counted`` has one row per (group, value) with its number of rows. Counts of whole cells between
+    the group's finite bounds are accumulated first, then the values inside the cells that hold a
+    rank, so no task sees all values of a group.
+    """
+    v = F.col(value)
+    finite = F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
+    bounds = counted.groupBy(group).agg(F.min(finite).alias("_low"), F.max(finite).alias("_high"))
+    width = F.col("_high") / 2 - F.col("_low") / 2          # halves: no overflow at the extremes
+    place = F.when(width > 0, (v / 2 - F.col("_low") / 2) / width * cells).otherwise(F.lit(0.0))
+    cell = (F.when(v == float("-inf"), -1).when(finite.isNull(), cells)
+            .otherwise(F.least(F.floor(place), F.lit(cells - 1))).cast("int"))
+    placed = counted.join(bounds, group).select(group, value, n, cell.alias("_cell"))
+    whole = Window.partitionBy(group)
+    upto = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    sums = (placed.groupBy(group, "_cell").agg(F.sum(n).alias("_n"))
+            .withColumns({"_below": F.sum("_n").over(upto) - F.col("_n"), "_all": F.sum("_n").over(whole)}))
+
+    def rank(q: float) -> Column:
+        return F.col("_all") - F.floor(F.col("_all") - F.col("_all") * F.lit(q))
+
+    holds = [(F.col("_below") < rank(q)) & (rank(q) <= F.col("_below") + F.col("_n")) for q in points]
+    wanted = sums.where(F.exists(F.array(*holds), lambda h: h))
+    inside = (Window.partitionBy(group, "_cell").orderBy(value)
+              .rowsBetween(Window.unboundedPreceding, 0))
+    ranked = placed.join(wanted, [group, "_cell"]).withColumn("_upto", F.col("_below") + F.sum(n).over(inside))
+    at = [F.min(F.when(F.col("_upto") >= rank(q), v)) for q in points]
+    return ranked.groupBy(group).agg(F.array(*at).alias("points"))
+
+
 def histogram(df: DataFrame, column: str, low: float, high: float, bins: int,
               by: Sequence[str] = (), clipped: bool = True) -> DataFrame:
     """Counts in equal-width bins of [low, high], last bin closed; values outside clipped or left out."""
