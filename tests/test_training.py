@@ -7,6 +7,7 @@ from tidemark import contract
 from tidemark.contract import ENTITY, HORIZONS, OBSERVED, label_name, probability_name
 from tidemark.operators.evaluation import promotion
 from tidemark.plans import training
+from tidemark.workload import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -84,3 +85,19 @@ def test_redraw_uses_every_value_once(table):
     for rows in (16, 1 << 13):
         moved = training.redraw(table, "calls_30d", cell_rows=rows)
         assert counted(moved).exceptAll(counted(table)).count() == 0
+
+
+def test_the_registered_query_trains_with_production_settings(spark, folder, monkeypatch):
+    asked = {}
+
+    class Asked(Exception):
+        pass
+
+    def fit(rows, *args, **options):
+        asked.update(options, args=args)
+        raise Asked
+
+    monkeypatch.setattr(training, "fit_horizons", fit)
+    with pytest.raises(Asked):
+        QUERIES["ml_gbt_scores"](spark, folder)
+    assert asked == {"args": (), "settings": training.TREE_SETTINGS | {"validationTol": 0.0}}
