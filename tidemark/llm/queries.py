@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, mixing, near_dedup, pii, secrets, topk, url_filter
+from tidemark.llm import bpe, exact_dedup, infill, mixing, near_dedup, pii, secrets, topk, url_filter
 from tidemark.llm import quality as good
 from tidemark.llm import toxicity as toxic
 from tidemark.llm.common import read, sha256_text
@@ -169,3 +169,38 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_url_filter")
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(read(spark, folder, "pages"))
+
+
+@query("op11_fill_in_middle", r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units
+  FROM documents),
+numbers AS (
+  SELECT *, len(units) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM drawn),
+cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR h3 % 100 >= 100 THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers),
+parts AS (
+  SELECT *, array_to_string(units[1:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle,
+         array_to_string(units[high + 1:], '') AS suffix
+  FROM cuts)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(prefix || middle || suffix) AS restored_sha256
+FROM parts
+""")
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    cut = infill.infill(read(spark, folder, "documents"), seed=7, rate=100, spm=50)
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      sha256_text(F.col("output")).alias("output_sha256"),
+                      sha256_text(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
