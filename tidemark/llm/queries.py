@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, exact_dedup, infill, mixing, near_dedup, pii, secrets, topk, url_filter
+from tidemark.llm import language as tongue
 from tidemark.llm import quality as good
 from tidemark.llm import toxicity as toxic
 from tidemark.llm.common import read, sha256_text
@@ -204,3 +205,8 @@ def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
                       sha256_text(F.col("output")).alias("output_sha256"),
                       sha256_text(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+@query("op13_language_id")
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return tongue.language(read(spark, folder, "documents")).drop("shares")
