@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, infill, mixing, near_dedup, pii, secrets, topk, url_filter
+from tidemark.llm import bpe, exact_dedup, infill, mixing, near_dedup, pii, repair, secrets, topk, url_filter
 from tidemark.llm import language as tongue
 from tidemark.llm import quality as good
 from tidemark.llm import toxicity as toxic
@@ -210,3 +210,99 @@ def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_language_id")
 def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return tongue.language(read(spark, folder, "documents")).drop("shares")
+
+
+@query("op12_conversation_repair", r"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations),
+drawn AS (
+  SELECT *, xor(4294967295, list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(c) AS BIGINT) FOR c IN string_split(name, '')]),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+             lambda x, bit: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)))) % 20 AS draw
+  FROM raw),
+hurt AS (
+  SELECT conv_id, turn, CASE draw WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE draw WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM drawn, (VALUES (1), (2)) AS copies(copy)
+  WHERE draw <> 0 AND (copy = 1 OR draw = 3)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS r,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed
+  FROM hurt),
+judged AS (
+  SELECT *, CASE WHEN trimmed = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY r) > 1 THEN 'duplicate'
+                 WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         substr(role, 1, 1) AS initial,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY r) AS earlier
+  FROM placed),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, max(r) AS n,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (r > 1 AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+-- a way is its cost in eight digits, then its letters, so that the least string is the best way
+ways(conv_id, r, w) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), ['00000000', NULL, NULL, NULL] FROM counted
+  UNION ALL
+  SELECT conv_id, r, [
+    CASE WHEN m[1] IS NOT NULL THEN lpad(CAST(CAST(left(m[1], 8) AS BIGINT) + 3 AS VARCHAR), 8, '0') || substr(m[1], 9) || 'D' END,
+    least(lpad(CAST(CAST(left(m[2], 8) AS BIGINT) + 3 AS VARCHAR), 8, '0') || substr(m[2], 9) || 'D',
+          CASE WHEN stays AND initial = 's'
+               THEN lpad(CAST(CAST(left(m[1], 8) AS BIGINT) + late AS VARCHAR), 8, '0') || substr(m[1], 9) || 'K' END),
+    least(lpad(CAST(CAST(left(m[3], 8) AS BIGINT) + 3 AS VARCHAR), 8, '0') || substr(m[3], 9) || 'D',
+          CASE WHEN stays THEN list_min([lpad(CAST(CAST(left(x, 8) AS BIGINT) + late
+                 + CASE initial WHEN 'u' THEN 0 ELSE 2 END AS VARCHAR), 8, '0') || substr(x, 9)
+                 || CASE initial WHEN 'u' THEN 'K' ELSE 'R' END FOR x IN [m[1], m[2], m[4]]]) END),
+    least(lpad(CAST(CAST(left(m[4], 8) AS BIGINT) + 3 AS VARCHAR), 8, '0') || substr(m[4], 9) || 'D',
+          CASE WHEN stays THEN lpad(CAST(CAST(left(m[3], 8) AS BIGINT) + late
+                 + CASE initial WHEN 'a' THEN 0 ELSE 2 END AS VARCHAR), 8, '0') || substr(m[3], 9)
+                 || CASE initial WHEN 'a' THEN 'K' ELSE 'R' END END)]
+  FROM (
+    SELECT j.conv_id, j.r, j.initial, j.fault NOT IN ('blank', 'duplicate') AS stays,
+           CASE j.fault WHEN 'truncated' THEN 1 ELSE 0 END AS late,
+           [w[1], w[2],
+            least(w[3], list_min([lpad(CAST(CAST(left(x, 8) AS BIGINT) + 2 AS VARCHAR), 8, '0') || substr(x, 9) || 'I'
+                                  FOR x IN [w[1], w[2], w[4]]])),
+            least(w[4], lpad(CAST(CAST(left(w[3], 8) AS BIGINT) + 2 AS VARCHAR), 8, '0') || substr(w[3], 9) || 'I',
+                  list_min([lpad(CAST(CAST(left(x, 8) AS BIGINT) + 4 AS VARCHAR), 8, '0') || substr(x, 9) || 'II'
+                            FOR x IN [w[1], w[2]]]))] AS m
+    FROM ways p JOIN judged j ON j.conv_id IS NOT DISTINCT FROM p.conv_id AND j.r = p.r + 1)),
+best AS (
+  SELECT c.*, list_min([lpad(CAST(CAST(left(e.x, 8) AS BIGINT) + 2 * len(e.ends) AS VARCHAR), 8, '0') || substr(e.x, 9)
+                        || e.ends FOR e IN [{'x': w[1], 'ends': ''}, {'x': w[2], 'ends': 'II'},
+                                            {'x': w[3], 'ends': 'I'}, {'x': w[4], 'ends': ''}]]) AS way
+  FROM counted c JOIN ways p ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.r),
+letters AS (
+  SELECT conv_id, unnest(string_split(substr(way, 9), '')) AS letter, generate_subscripts(string_split(substr(way, 9), ''), 1) AS p
+  FROM best),
+edits AS (
+  SELECT *, count(*) FILTER (letter <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS r,
+         count(*) FILTER (letter <> 'D') OVER (PARTITION BY conv_id ORDER BY p) AS k
+  FROM letters),
+left_over AS (
+  SELECT e.conv_id, e.p, e.k, e.letter, j.role, CASE e.letter WHEN 'I' THEN '' ELSE j.text END AS text,
+         max(CASE WHEN e.k = 1 AND e.letter = 'K' AND j.initial = 's' THEN 1 ELSE 0 END)
+           OVER (PARTITION BY e.conv_id) AS opening
+  FROM edits e LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM e.conv_id AND j.r = e.r
+  WHERE e.letter IN ('K', 'R', 'I')),
+written AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role
+                                  WHEN (k - opening) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+                             chr(10) ORDER BY p) AS whole
+  FROM left_over GROUP BY conv_id)
+SELECT a.conv_id, CAST(coalesce(b.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(b.blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(b.duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(b.truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(b.illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(left(b.way, 8), '0') AS BIGINT) AS cost,
+       coalesce(substr(b.way, 9), '') AS audit, sha256(coalesce(w.whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN best b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN written w ON a.conv_id IS NOT DISTINCT FROM w.conv_id
+""")
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read(spark, folder, "conversations")
+    return repair.digest(turns.select("conv_id"), repair.repair(repair.damaged(turns)))
