@@ -10,6 +10,7 @@ pre-tokens share one queue: they lie end to end, and no pair reaches across thei
 from __future__ import annotations
 
 import base64
+import sys
 from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -23,8 +24,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 
 from tidemark.llm.common import quoted, whole
 
-CACHE_ENTRIES = 300_000     # of pre-tokens, and of words; an emptied cache only costs time
+CACHE_ENTRIES = 400_000     # of pre-tokens, and of words; an emptied cache only costs time
 CACHE_CHARS = 64            # longer ones are worked out anew
+ID_BITS = 32
 TOGETHER = 1 << 16          # bytes of pre-tokens merged in one queue, unless one alone has more
 TEXTS = 64                  # texts looked through before merging what is new in them
 FLUSH_TOKENS = 2_000_000    # tokens in an output batch, unless one text has more
@@ -75,12 +77,17 @@ class Merger:
         self.queue = RankQueue(max(ranks.values(), default=0) + 1)
         self.single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
         self.double = np.full(1 << 16, -1, np.int32)
+        self.pairs: dict[int, int] = {}     # rank of a merge by the ids of its two sides
         for token, rank in ranks.items():
             if len(token) == 2:
                 self.double[token[0] << 8 | token[1]] = rank
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    self.pairs[left << ID_BITS | right] = rank
 
-    def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """The ids of each pre-token, none of them empty."""
+    def merged(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each pre-token, none of them empty, as 32-bit numbers one after the other."""
         data = b"".join(pieces)
         n = len(data)
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -101,23 +108,20 @@ class Merger:
         pack = list if n <= 16 * TOGETHER else (lambda numbers: array("i", numbers))
         after, before = pack(range(1, n + 1)), pack(range(-1, n - 1))
         ids, pair = pack(self.single[flat].tolist()), pack(pairs.tolist())
-        self._run(data, bound, after, before, ids, pair)
+        self._run(bound, after, before, ids, pair)
         ids = np.array(ids, np.int32)
         alive = ids >= 0
-        counts = np.add.reduceat(alive, starts).tolist() if n else []
-        out, ids = [], ids[alive].tolist()
-        done = 0
-        for count in counts:
-            out.append(tuple(ids[done:done + count]))
-            done += count
-        return out
+        ends = (4 * np.cumsum(np.add.reduceat(alive, starts))).tolist() if n else []
+        packed = ids[alive].tobytes()
+        return [packed[low:high] for low, high in zip([0, *ends], ends, strict=False)]
 
-    def _run(self, data: bytes, bound: bytes, after, before, ids, pair) -> None:
+    def _run(self, bound: bytes, after, before, ids, pair) -> None:
         """Merge until no pair is left. A position merged into its left neighbour gets id -1."""
-        rank_of, queue = self.ranks.get, self.queue
+        rank_of, queue = self.pairs.get, self.queue
         buckets, push = queue.buckets, queue.push
         while queue.top:
             rank, bucket = queue.pop()
+            as_left = rank << ID_BITS
             for place, at in enumerate(bucket):
                 if pair[at] != rank:            # a neighbour's merge has changed it
                     continue
@@ -130,16 +134,17 @@ class Merger:
                     pair[at] = -1
                 else:
                     before[end] = at
-                    new = pair[at] = rank_of(data[at:after[end]], -1)
+                    new = pair[at] = rank_of(as_left | ids[end], -1)
                     if new >= 0:
                         if new in buckets:
                             buckets[new].append(at)
                         else:
                             push(new, [at])
-                        lowest = min(lowest, new)
+                        if new < lowest:
+                            lowest = new
                 if not bound[at]:
                     left = before[at]
-                    new = rank_of(data[left:end], -1)
+                    new = rank_of(ids[left] << ID_BITS | rank, -1)
                     if new != pair[left]:
                         pair[left] = new
                         if new >= 0:
@@ -147,12 +152,17 @@ class Merger:
                                 buckets[new].append(left)
                             else:
                                 push(new, [left])
-                            lowest = min(lowest, new)
+                            if new < lowest:
+                                lowest = new
                 if lowest < rank:               # that one comes first; the others wait
                     push(rank, bucket[place + 1:])
                     break
 
 
+# a blank beside a space, or at an end of the text
+_other_blanks = regex.compile(r" [\s\x1c-\x1f\x85]|[\s\x1c-\x1f\x85] |\A |[\s\x1c-\x1f\x85]\Z").search
+
+
 class Encoder:
     """Splits by a pattern, merges each match. Keeps what it has met, within bounds.
 
@@ -164,8 +174,9 @@ class Encoder:
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.merger = Merger(ranks)
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.tokens = token_table(ranks)
+        self.pieces: dict[str, bytes] = {}      # ids as 32-bit numbers
+        self.words: dict[str, bytes] = {}
 
     def _learn(self, pieces: set[str]) -> None:
         """Ids of pre-tokens not met yet."""
@@ -174,7 +185,7 @@ class Encoder:
             coded = text.encode()
             known = self.ranks.get(coded)
             if known is not None:
-                self.pieces[text] = (known,)
+                self.pieces[text] = known.to_bytes(4, sys.byteorder)
                 continue
             waiting.append((text, coded))
             size += len(coded)
@@ -193,25 +204,21 @@ class Encoder:
                 cache.clear()
         plans, new_words, new_pieces = [], set(), set()
         for text in texts:
-            first, *words = text.split(" ")
-            new = set(words).difference(self.words)
-            if (any(not w or w[0].isspace() or w[-1].isspace() for w in new)
-                    or words and (not first or first[-1].isspace())):
+            if _other_blanks(text):
                 head, words = self.split(text), []
             else:
+                first, *words = text.split(" ")
                 head = self.split(first)
-                new_words |= new
+                new_words.update(set(words).difference(self.words))
             new_pieces.update(head)
             plans.append((head, words))
         parts = {w: self.split(" " + w) for w in new_words}
         new_pieces.update(*parts.values())
         self._learn(new_pieces)
-        ids = self.pieces.__getitem__
+        ids, of_word = self.pieces.__getitem__, self.words.__getitem__
         for word, pieces in parts.items():
-            self.words[word] = ids(pieces[0]) if len(pieces) == 1 else tuple(chain.from_iterable(map(ids, pieces)))
-        out = [np.fromiter(chain(chain.from_iterable(map(ids, head)),
-                                 chain.from_iterable(map(self.words.__getitem__, words))), np.int32)
-               for head, words in plans]
+            self.words[word] = b"".join(map(ids, pieces))
+        out = [np.frombuffer(b"".join(chain(map(ids, head), map(of_word, words))), np.int32) for head, words in plans]
         for cache, met in ((self.pieces, new_pieces), (self.words, new_words)):
             for long in [x for x in met if len(x) > CACHE_CHARS]:
                 del cache[long]
@@ -256,10 +263,14 @@ def _decode(ids: np.ndarray, table: dict[int, bytes]) -> bytes:
     return b"".join(map(table.__getitem__, ids.tolist()))
 
 
+def token_table(ranks: dict[bytes, int]) -> dict[int, bytes]:
+    return {rank: token for token, rank in ranks.items()}
+
+
 def _encode_batches(shared: Broadcast, decode_too: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
-        table = {rank: token for token, rank in encoder.ranks.items()} if decode_too else {}
+        table = encoder.tokens
         for batch in batches:
             done, lists, tokens = 0, [], 0
             for at in range(0, batch.num_rows, TEXTS):
@@ -297,7 +308,7 @@ def encode(docs: DataFrame, shared: Broadcast, key: str = "doc_id", text: str =
 def decode(tokens: DataFrame, shared: Broadcast, key: str = "doc_id", ids: str = "token_ids") -> DataFrame:
     """``key, decoded``: the bytes of each row's ids; null ids give null, unknown ids an error."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = {rank: token for token, rank in shared.value[0].items()}
+        table = token_table(shared.value[0])
         for batch in batches:
             texts = [None if row is None else b"".join([table[i] for i in row])
                      for row in batch.column(1).to_pylist()]
