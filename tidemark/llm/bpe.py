@@ -86,8 +86,12 @@ class Merger:
                 if left is not None and right is not None:
                     self.pairs[left << ID_BITS | right] = rank
 
-    def merged(self, pieces: list[bytes]) -> list[bytes]:
-        """The ids of each pre-token, none of them empty, as 32-bit numbers one after the other."""
+    def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """The ids of each pre-token, none of them empty."""
+        return [tuple(np.frombuffer(ids, np.int32).tolist()) for ids in self.packed(pieces)]
+
+    def packed(self, pieces: list[bytes]) -> list[bytes]:
+        """The same as 32-bit numbers one after the other."""
         data = b"".join(pieces)
         n = len(data)
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -196,7 +200,7 @@ class Encoder:
 
     def _merge(self, waiting: list[tuple[str, bytes]]) -> None:
         if waiting:
-            self.pieces.update(zip((t for t, _ in waiting), self.merger.merged([c for _, c in waiting]), strict=True))
+            self.pieces.update(zip((t for t, _ in waiting), self.merger.packed([c for _, c in waiting]), strict=True))
 
     def encode_all(self, texts: Iterable[str]) -> list[np.ndarray]:
         for cache in (self.pieces, self.words):
