@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import contract
 from tidemark.contract import ENTITY, HORIZONS, decile_name, probability_name
 from tidemark.functions.risk import horizon_text
 from tidemark.operators.assemble import complete_domain
+from tidemark.operators.running import interpolated, running_sums
 
 
 def tier_actions(spark) -> DataFrame:
@@ -39,21 +40,19 @@ def action_list(scores: DataFrame, tier: str) -> DataFrame:
     return scores.where(F.col("risk_tier") == tier).orderBy(F.desc(own), ENTITY)
 
 
-def action_ranks(scores: DataFrame, digits: int = 6) -> DataFrame:
+def action_ranks(scores: DataFrame, digits: int | None = None) -> DataFrame:
     """All action lists with ``priority``: 1 + customers of the tier with a higher probability.
 
-    Ranks come from counts per (tier, probability), at most 10**digits + 1
-    rows per tier, so no task sorts a whole tier. Equal probabilities share a rank.
+    Ranks come from counts per (tier, probability), summed up over ranges of probabilities, so no
+    task sorts a whole tier. Equal probabilities share a rank; ``digits`` cuts them to so many decimals.
     """
     own = F.coalesce(*[F.when(F.col("risk_tier") == t, F.col(probability_name(h)))
                        for t, h in contract.TIER_HORIZON.items()])
     listed = (scores.where(F.col("risk_tier").isin(*contract.TIER_HORIZON))
-              .withColumn("own_probability", F.round(own, digits)))
-    ahead = (Window.partitionBy("risk_tier").orderBy(F.desc("own_probability"))
-             .rowsBetween(Window.unboundedPreceding, -1))
-    places = (listed.groupBy("risk_tier", "own_probability").agg(F.count("*").alias("_n"))
-              .withColumn("priority", F.coalesce(F.sum("_n").over(ahead), F.lit(0)) + 1)
-              .drop("_n"))
+              .withColumn("own_probability", own if digits is None else F.round(own, digits)))
+    counted = listed.groupBy("risk_tier", "own_probability").agg(F.count("*").alias("_n"))
+    places = running_sums(counted, ["risk_tier"], "own_probability", {"_upto": "_n"}, descending=True).select(
+        "risk_tier", "own_probability", (F.col("_upto") - F.col("_n") + 1).alias("priority"))
     return listed.join(places, ["risk_tier", "own_probability"])
 
 
@@ -93,28 +92,24 @@ def tier_heatmap(scores: DataFrame) -> DataFrame:
         *[F.avg(probability_name(h)).alias(f"avg_{h}d") for h in HORIZONS])
 
 
-def score_trend(scores: DataFrame, date: str = "score_date", digits: int = 6) -> DataFrame:
+def score_trend(scores: DataFrame, date: str = "score_date", digits: int | None = None) -> DataFrame:
     """Mean, deviation and median probability per (score date, horizon).
 
-    Medians run over counts per probability value, at most 10**digits + 1 rows
-    per date and horizon.
+    Mean and deviation are merged sums; medians come from counts per probability, summed up over
+    ranges of probabilities. ``digits`` cuts probabilities to so many decimals.
     """
-    pairs = F.array(*[F.struct(F.lit(h).alias("horizon"),
-                               F.round(probability_name(h), digits).alias("p")) for h in HORIZONS])
-    counted = (scores.select(date, F.inline(pairs)).where(F.col("p").isNotNull())
-               .groupBy(date, "horizon", "p").agg(F.count("*").alias("n")))
-    n, p = F.col("n"), F.col("p")
-    total = F.sum("n")
-    mean = F.sum(p * n) / total
-    # second pass over the counts, centred, so that close values keep their digits
-    centred = Window.partitionBy(date, "horizon")
-    return (counted
-            .withColumn("_m", F.sum(p * n).over(centred) / F.sum(n).over(centred))
-            .groupBy(date, "horizon")
-            .agg(mean.alias("mean_probability"),
-                 F.sqrt(F.try_divide(F.sum((p - F.col("_m")) * (p - F.col("_m")) * n), total - 1)
-                        ).alias("std_probability"),
-                 F.percentile("p", F.lit(0.5), n).alias("median_probability")))
+    def p(h: int) -> Column:
+        return F.col(probability_name(h)) if digits is None else F.round(probability_name(h), digits)
+
+    pairs = F.array(*[F.struct(F.lit(h).alias("horizon"), p(h).alias("p")) for h in HORIZONS])
+    lines = scores.select(date, F.inline(pairs)).where(F.col("p").isNotNull())
+    keys = [date, "horizon"]
+    moments = lines.groupBy(*keys).agg(F.avg("p").alias("mean_probability"), F.stddev_samp("p").alias("std_probability"))
+    medians = interpolated(lines.groupBy(*keys, "p").agg(F.count("*").alias("n")), keys, "p", "n", [0.5]).select(
+        *keys, F.col("points")[0].alias("median_probability"))
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    return (moments.alias("a").join(medians.alias("b"), same)
+            .select(*[f"a.{k}" for k in keys], "mean_probability", "std_probability", "median_probability"))
 
 
 def decile_means(scores: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Every ranking metric is computed from one histogram (horizon, score) ->
 (positives, negatives). Scores are taken as they are; running sums work in two levels,
-over cells of the unit interval and inside each cell, so no task sees all scores of a
-horizon. ``digits`` cuts scores to so many decimals, which bounds the histogram where
+over ranges with equal numbers of scores and inside each range (``running``), so no task sees
+all scores of a horizon, however they are concentrated. ``digits`` cuts scores to so many decimals, which bounds the histogram where
 that is wanted.
 """
 
@@ -17,9 +17,7 @@ from pyspark.sql import functions as F
 from tidemark import contract
 from tidemark.contract import HORIZONS, label_name, probability_name
 from tidemark.functions.risk import bin_of
-
-
-CELLS = 1024
+from tidemark.operators.running import CELLS, running_sums
 
 
 def score_histogram(df: DataFrame, horizons: Sequence[int] = HORIZONS, digits: int | None = None,
@@ -40,28 +38,10 @@ def score_histogram(df: DataFrame, horizons: Sequence[int] = HORIZONS, digits: i
 def ranking_curve(hist: DataFrame, by: Sequence[str] = (), cells: int | None = CELLS) -> DataFrame:
     """Running true and false positives from the highest score down, with the totals.
 
-    ``cells`` splits [0, 1]: sums of whole cells are accumulated first, then the scores
-    inside each cell, so one task sees the distinct scores of one cell. None sums in one
-    level, for histograms known to be small.
+    None as ``cells`` sums in one level, for histograms known to be small.
     """
-    keys = [*by, "horizon"]
-    group = Window.partitionBy(*keys)
-    if cells is None:
-        down = group.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-        return hist.withColumns({"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down),
-                                 "P": F.sum("pos").over(group), "N": F.sum("neg").over(group)})
-    placed = hist.withColumn("_cell", F.least(F.floor(F.col("score") * cells), F.lit(cells - 1)))
-    higher = group.orderBy(F.desc("_cell")).rowsBetween(Window.unboundedPreceding, -1)
-    totals = (placed.groupBy(*keys, "_cell").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-              .withColumns({"_tp": F.coalesce(F.sum("_p").over(higher), F.lit(0)),
-                            "_fp": F.coalesce(F.sum("_n").over(higher), F.lit(0)),
-                            "P": F.sum("_p").over(group), "N": F.sum("_n").over(group)}))
-    inside = (Window.partitionBy(*keys, "_cell").orderBy(F.desc("score"))
-              .rowsBetween(Window.unboundedPreceding, 0))
-    return (placed.join(totals, [*keys, "_cell"])
-            .withColumns({"tp": F.col("_tp") + F.sum("pos").over(inside),
-                          "fp": F.col("_fp") + F.sum("neg").over(inside)})
-            .drop("_cell", "_p", "_n", "_tp", "_fp"))
+    return running_sums(hist, [*by, "horizon"], "score", {"tp": "pos", "fp": "neg"}, {"P": "pos", "N": "neg"},
+                        descending=True, cells=cells)
 
 
 def _ratio(a: Column, b: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import clip
 from tidemark.functions.risk import bin_of
+from tidemark.operators.running import CELLS, interpolated, with_cells
 
 _CELLS = 2048
 
@@ -119,25 +120,24 @@ def kth_smallest(df: DataFrame, value: str, k: int) -> tuple[float, int] | None:
 
 
 def quantile_edges(df: DataFrame, columns: Sequence[str], n: int = 10,
-                   digits: int = 6) -> DataFrame:
-    """One row: for each probability column, its distinct quantile edges as a sorted array.
+                   digits: int | None = None) -> DataFrame:
+    """One row: for each column, its distinct quantile edges as a sorted array.
 
-    Meant for values in [0, 1]. They are counted per value at ``digits`` decimals
-    first, so the quantiles see at most 10**digits + 1 rows per column.
+    Values are taken as they are, from counts per distinct value; ``digits`` cuts them to so many decimals.
     """
-    grid = F.array(*[F.lit(i / n) for i in range(n + 1)])
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.round(c, digits).alias("value"))
-                      for c in columns])
+    def value(c: str) -> Column:
+        return F.col(c) if digits is None else F.round(c, digits)
+
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), value(c).cast("double").alias("value")) for c in columns])
     counted = (df.select(F.inline(pairs)).where(F.col("value").isNotNull())
                .groupBy("name", "value").agg(F.count("*").alias("n")))
-    per_column = counted.groupBy("name").agg(
-        F.array_sort(F.array_distinct(F.percentile("value", grid, F.col("n")))).alias("edges"))
-    return per_column.agg(*[
-        F.max(F.when(F.col("name") == c, F.col("edges"))).alias(c) for c in columns])
+    edges = interpolated(counted, ["name"], "value", "n", [i / n for i in range(n + 1)])
+    return edges.agg(*[F.max(F.when(F.col("name") == c, F.array_sort(F.array_distinct("points")))).alias(c)
+                       for c in columns])
 
 
 def quantile_bin(df: DataFrame, columns: Mapping[str, str], n: int = 10,
-                 digits: int = 6) -> DataFrame:
+                 digits: int | None = None) -> DataFrame:
     """Add quantile bins {value column: bin column}: equal-count bins, 1 = lowest.
 
     Repeated edges are merged; a constant column has no bins (null). The edges
@@ -146,42 +146,35 @@ def quantile_bin(df: DataFrame, columns: Mapping[str, str], n: int = 10,
     edges = quantile_edges(df, list(columns), n, digits)
     # values and edges become columns first: a bin compares them n + 1 times
     held = {f"_edges_{c}": edges.select(c).scalar() for c in columns}
-    held |= {f"_value_{c}": F.round(c, digits) for c in columns}
+    held |= {f"_value_{c}": F.col(c) if digits is None else F.round(c, digits) for c in columns}
     bins = {out: bin_of(f"_value_{c}", f"_edges_{c}", n) for c, out in columns.items()}
     return df.withColumns(held).withColumns(bins).drop(*held)
 
 
 def values_at_rank(counted: DataFrame, group: str, value: str, n: str, points: Sequence[float],
-                   cells: int = _CELLS) -> DataFrame:
+                   cells: int = CELLS) -> DataFrame:
     """(group, points): per group the values at the ranks of the points, exact at any size.
 
-    ``counted`` has one row per (group, value) with its number of rows. Counts of whole cells between
-    the group's finite bounds are accumulated first, then the values inside the cells that hold a
-    rank, so no task sees all values of a group.
+    ``counted`` has one row per (group, value) with its number of rows. Counts of whole ranges of the
+    values are accumulated first (see ``running``), then the values inside the ranges that hold a
+    rank, so no task sees all values of a group, whatever their distribution.
     """
-    v = F.col(value)
-    finite = F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
-    bounds = counted.groupBy(group).agg(F.min(finite).alias("_low"), F.max(finite).alias("_high"))
-    width = F.col("_high") / 2 - F.col("_low") / 2          # halves: no overflow at the extremes
-    place = F.when(width > 0, (v / 2 - F.col("_low") / 2) / width * cells).otherwise(F.lit(0.0))
-    cell = (F.when(v == float("-inf"), -1).when(finite.isNull(), cells)
-            .otherwise(F.least(F.floor(place), F.lit(cells - 1))).cast("int"))
-    placed = counted.join(bounds, group).select(group, value, n, cell.alias("_cell"))
-    whole = Window.partitionBy(group)
+    placed = with_cells(counted, [group], value, cells)
+    whole = Window.partitionBy("_key")
     upto = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    sums = (placed.groupBy(group, "_cell").agg(F.sum(n).alias("_n"))
-            .withColumns({"_below": F.sum("_n").over(upto) - F.col("_n"), "_all": F.sum("_n").over(whole)}))
+    sums = (placed.groupBy("_key", "_cell").agg(F.sum(n).alias("_in"))
+            .withColumns({"_below": F.sum("_in").over(upto) - F.col("_in"), "_all": F.sum("_in").over(whole)}))
 
     def rank(q: float) -> Column:
         return F.col("_all") - F.floor(F.col("_all") - F.col("_all") * F.lit(q))
 
-    holds = [(F.col("_below") < rank(q)) & (rank(q) <= F.col("_below") + F.col("_n")) for q in points]
+    holds = [(F.col("_below") < rank(q)) & (rank(q) <= F.col("_below") + F.col("_in")) for q in points]
     wanted = sums.where(F.exists(F.array(*holds), lambda h: h))
-    inside = (Window.partitionBy(group, "_cell").orderBy(value)
+    inside = (Window.partitionBy("_key", "_cell").orderBy(value)
               .rowsBetween(Window.unboundedPreceding, 0))
-    ranked = placed.join(wanted, [group, "_cell"]).withColumn("_upto", F.col("_below") + F.sum(n).over(inside))
-    at = [F.min(F.when(F.col("_upto") >= rank(q), v)) for q in points]
-    return ranked.groupBy(group).agg(F.array(*at).alias("points"))
+    ranked = placed.join(wanted, ["_key", "_cell"]).withColumn("_upto", F.col("_below") + F.sum(n).over(inside))
+    at = [F.min(F.when(F.col("_upto") >= rank(q), F.col(value))) for q in points]
+    return ranked.groupBy("_key").agg(F.array(*at).alias("points")).select(F.col(f"_key.{group}").alias(group), "points")
 
 
 def histogram(df: DataFrame, column: str, low: float, high: float, bins: int,

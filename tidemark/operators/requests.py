@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.contract import LATENCY_BUCKETS, MAX_ERROR_RATIO, MAX_P99_SECONDS
+from tidemark.operators.quantiles import values_at_rank
 
 _STEP = "1 minute"
 
@@ -79,23 +80,17 @@ def latency_at_rank(log: DataFrame, by: Sequence[str] = (), length: str = "5 min
                     quantiles: Sequence[float] = (.5, .95, .99)) -> DataFrame:
     """Latency quantiles at the rank over tumbling windows, exact at any size.
 
-    Rows are counted per (window, key, latency) first, with partial sums; running counts then
-    go over the distinct latencies of one window, and rows without a latency count as requests only.
+    Rows are counted per (window, key, latency) first, with partial sums; running counts then go over
+    ranges of a window's latencies, so a window of any size is many tasks' work. Rows without a latency
+    count as requests only.
     """
-    keys = ["_w", *by]
-    cells = (log.groupBy(F.window("ts", length).alias("_w"), *by, "latency_seconds")
-             .agg(F.count("*").alias("_n"), F.count("latency_seconds").alias("_m")))
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy("latency_seconds").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = cells.withColumns({"_upto": F.sum("_m").over(upto), "_all": F.sum("_m").over(group)})
-    def at(q: float) -> Column:
-        rank = F.col("_all") - F.floor(F.col("_all") - F.col("_all") * F.lit(q))
-        return F.min(F.when((F.col("_m") > 0) & (F.col("_upto") >= rank), F.col("latency_seconds")))
-
-    points = [at(q).alias(f"p{round(q * 100)}") for q in quantiles]
-    return (ranked.groupBy(*keys).agg(F.sum("_n").alias("requests"), *points)
-            .select(F.col("_w.start").alias("window_start"), *by, "requests",
-                    *[f"p{round(q * 100)}" for q in quantiles]))
+    keys = F.struct(F.window("ts", length).alias("w"), *by).alias("_keys")
+    cells = log.groupBy(keys, "latency_seconds").agg(F.count("*").alias("_n"))
+    requests = cells.groupBy("_keys").agg(F.sum("_n").alias("requests"))
+    found = values_at_rank(cells.where(F.col("latency_seconds").isNotNull()), "_keys", "latency_seconds", "_n", quantiles)
+    return requests.join(found, "_keys", "left").select(
+        F.col("_keys.w.start").alias("window_start"), *[F.col("_keys")[b].alias(b) for b in by], "requests",
+        *[F.col("points")[i].alias(f"p{round(q * 100)}") for i, q in enumerate(quantiles)])
 
 
 def sketched_latency(log: DataFrame, by: Sequence[str] = (), length: str = "5 minutes",
