@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators.quality import Rule, enforce
-from tidemark.operators.rollup import monthly_rollup
+from tidemark.operators.rollup import merged_months, monthly_partials, months_of
 from tidemark.sources.readers import with_ingest_meta
 from tidemark.sources.tables import evened
+from tidemark.streaming.merging import MergedTable
 
 
 def land(stream: DataFrame, path: str, checkpoint: str, meta: bool = True,
@@ -31,37 +32,27 @@ def refine(stream: DataFrame, clean: Callable[[DataFrame], DataFrame], rules: Se
     return enforce(clean(stream), rules, observation)
 
 
-def monthly_refresh(daily: DataFrame, daily_path: str, monthly_path: str, checkpoint: str
+def monthly_refresh(daily: DataFrame, state_path: str, monthly_path: str, checkpoint: str, keep: int = 8
                     ) -> StreamingQuery:
     """Keep monthly aggregates equal to a full rollup while days arrive in any order.
 
-    Each micro-batch is stored under (month, batch) and only the months it
-    touches are aggregated again and replaced. Both writes overwrite whole
-    partitions, so a batch that is repeated after a failure changes nothing.
+    Each micro-batch is reduced to partial aggregates per (entity, month), which are kept as a
+    ``MergedTable`` of few folders; days themselves are not stored. The months that a batch touches are
+    merged and replaced. A batch that is repeated after a failure changes nothing.
     """
     spark = daily.sparkSession
+    state = MergedTable(spark, state_path, monthly_partials(daily).schema, merged_months, ["month_key"], keep)
 
-    def replace(df: DataFrame, path: str, *by: str) -> None:
-        (evened(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*by).parquet(path))
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        replace(batch.withColumn("_batch", F.lit(batch_id)), daily_path, "month_key", "_batch")
-        stored = spark.read.schema(_stored_schema(batch)).parquet(daily_path)
-        months = [r[0] for r in stored.where(F.col("_batch") == batch_id)
-                  .select("month_key").distinct().collect()]     # calendar months of one batch
+    def publish(batch: DataFrame) -> None:
+        months = [r[0] for r in batch.select("month_key").distinct().collect()]     # calendar months of one batch
         if months:
             known = [m for m in months if m is not None]
-            touched = stored.where(F.col("month_key").isin(known)
-                                   | (F.col("month_key").isNull() if None in months else F.lit(False)))
-            replace(monthly_rollup(touched.drop("_batch")), monthly_path, "month_key")
-
-    return (daily.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
-
+            touched = state.partial().where(F.col("month_key").isin(known)
+                                            | (F.col("month_key").isNull() if None in months else F.lit(False)))
+            (evened(months_of(merged_months(touched)), ["month_key"]).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("month_key").parquet(monthly_path))
 
-def _stored_schema(batch: DataFrame):
-    return batch.withColumn("_batch", F.lit(0)).schema
+    return state.follow(daily, monthly_partials, checkpoint, publish)
 
 
 def run(query: StreamingQuery) -> None:
