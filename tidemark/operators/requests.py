@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import LATENCY_BUCKETS, MAX_ERROR_RATIO, MAX_P99_SECONDS
 from tidemark.operators.quantiles import values_at_rank
+from tidemark.operators.running import running_sums
 
 _STEP = "1 minute"
+_DAY = 1440             # minutes
 
 
 def sliding(log: DataFrame, by: Sequence[str], counts: Mapping[str, Column], length: str,
@@ -139,13 +141,27 @@ def sustained(states: DataFrame, condition: str, minutes: int = 5, by: Sequence[
               at: str = "window_end") -> DataFrame:
     """Runs of consecutive minutes in which the condition held for at least ``minutes``.
 
-    ``states`` has one row per (key, minute); a missing minute ends a run.
+    ``states`` has one row per (key, minute); a missing minute ends a run. A segmented scan: runs are found
+    day by day, and only those that touch midnight are joined with their neighbours, their chains being
+    numbered by running sums over ranges. So no task holds more than a day of a key.
     """
     index = (F.unix_seconds(at) / 60).cast("bigint")
-    held = states.where(F.col(condition)).withColumn("_i", index)
-    order = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_i")
-    runs = held.withColumn("_run", F.col("_i") - F.row_number().over(order))
-    return (runs.groupBy(*by, "_run")
-            .agg(F.min(at).alias("held_from"), F.max(at).alias("held_until"),
-                 F.count("*").alias("samples"))
-            .where(F.col("samples") > minutes).drop("_run"))
+    day = F.floor(index / _DAY)
+    held = states.where(F.col(condition)).withColumns({"_i": index, "_day": day})
+    order = Window.partitionBy(*by, "_day").orderBy("_i")
+    daily = (held.withColumn("_run", F.col("_i") - F.row_number().over(order)).groupBy(*by, "_day", "_run")
+             .agg(F.min(at).alias("held_from"), F.max(at).alias("held_until"), F.count("*").alias("samples"),
+                  F.min("_i").alias("_first"), F.max("_i").alias("_last")))
+    out = ["held_from", "held_until", "samples"]
+    edge = (F.col("_first") % _DAY == 0) | (F.col("_last") % _DAY == _DAY - 1)
+    inner = daily.where(~edge).select(*by, *out)
+    # at most two runs of a day touch its ends; one that is carried on begins where another has ended
+    touching = daily.where(edge)
+    ends = touching.select(*by, (F.col("_last") + 1).alias("_next"))
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by]
+    carried = touching.alias("a").join(ends.alias("b"), [*same, F.col("a._first") == F.col("b._next")], "left")
+    marked = carried.select("a.*", F.when(F.col("b._next").isNull(), 1).otherwise(0).alias("_new"))
+    joined = (running_sums(marked, by, "_first", {"_chain": "_new"}).groupBy(*by, "_chain")
+              .agg(F.min("held_from").alias("held_from"), F.max("held_until").alias("held_until"),
+                   F.sum("samples").alias("samples")).select(*by, *out))
+    return inner.unionByName(joined).where(F.col("samples") > minutes)

@@ -71,7 +71,7 @@ class Lakehouse:
     # --- silver ---------------------------------------------------------------
 
     def clean(self) -> dict[str, int]:
-        """Cleaned tables, laid out by their lookup keys; daily usage by month."""
+        """Cleaned tables, laid out for lookups by entity or by date; daily usage by month."""
         raw = {t: self.read("bronze", f"raw_{t}") for t in ("customer_info", "usage", "calls", "cease")}
         info = quality.enforce(cleaning.clean_customer_info(raw["customer_info"]), quality.SNAPSHOT_RULES)
         usage = quality.enforce(cleaning.clean_usage(raw["usage"]), quality.USAGE_RULES)
@@ -79,12 +79,12 @@ class Lakehouse:
         cease = quality.enforce(cleaning.clean_cease(raw["cease"]), quality.CEASE_RULES)
         put = self._put_silver
         rows = {
-            "customer_info": put("customer_info", tables.cluster_layout(info, [ENTITY, "datevalue"])),
+            "customer_info": put("customer_info", tables.z_order(info, [ENTITY, "datevalue"])),
             # one range of entities per file of a month, not one file per task and month
             "usage_daily": put("usage_daily", tables.cluster_layout(
                 usage, ["month_key", ENTITY, "calendar_date"]), ["month_key"]),
-            "calls": put("calls", tables.cluster_layout(calls, [ENTITY, "event_date"])),
-            "cease": put("cease", tables.cluster_layout(cease, [ENTITY, "cease_placed_date"])),
+            "calls": put("calls", tables.z_order(calls, [ENTITY, "event_date"])),
+            "cease": put("cease", tables.z_order(cease, [ENTITY, "cease_placed_date"])),
         }
         monthly = monthly_rollup(self.read("silver", "usage_daily"))
         rows["usage_monthly"] = put("usage_monthly", tables.cluster_layout(monthly, [ENTITY, "month_key"]))

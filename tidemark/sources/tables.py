@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from tidemark.contract import ACTION_LISTS, ENTITY, OBSERVED
 from tidemark.operators.actions import action_list
@@ -134,3 +135,74 @@ def cluster_layout(df: DataFrame, columns: Sequence[str], partitions: int | None
     ranged = (df.repartitionByRange(partitions, *columns) if partitions
               else df.repartitionByRange(*columns))
     return ranged.sortWithinPartitions(*columns)
+
+
+Z_BITS = 8      # of each column's place: 256 ranges
+
+
+def range_starts(df: DataFrame, column: str, ranges: int) -> list:
+    """The least values of ``ranges`` stretches with about equally many distinct values each; any type with an order.
+
+    The driver gets one value per range.
+    """
+    dealt = df.select(column).where(F.col(column).isNotNull()).distinct().repartitionByRange(ranges, column)
+    starts = dealt.groupBy(F.spark_partition_id().alias("_range")).agg(F.min(column).alias("low")).collect()
+    return sorted(r["low"] for r in starts)
+
+
+def _place(value: Column, starts: Column, bits: int) -> Column:
+    """How many of the sorted starts lie at or below the value, by halving."""
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(bits))])
+    return F.aggregate(steps, F.lit(0), lambda place, step: place + F.when(
+        F.get(starts, place + step - 1) <= value, step).otherwise(0))
+
+
+def z_value(df: DataFrame, columns: Sequence[str], bits: int = Z_BITS) -> Column:
+    """The place of a row on a curve through all columns: the bits of their ranges, dealt in turn.
+
+    A column counts by the rank of its value, so neither its type nor its distribution matters; nulls
+    are first. Columns named first have the higher bit of each round.
+    """
+    if bits * len(columns) > 62:
+        raise ValueError(f"{len(columns)} columns of {bits} bits do not fit a curve of 62")
+    out = F.lit(0).cast("long")
+    for at, column in enumerate(columns):
+        kind = df.schema[column].dataType
+        starts = F.lit(range_starts(df, column, (1 << bits) - 1)).cast(ArrayType(kind))
+        place = _place(F.col(column), starts, bits)
+        for b in range(bits):
+            bit = F.shiftright(place, b).bitwiseAND(F.lit(1)).cast("long")
+            out = out.bitwiseOR(F.shiftleft(bit, b * len(columns) + len(columns) - 1 - at))
+    return out
+
+
+def z_order(df: DataFrame, columns: Sequence[str], files: int | None = None, bits: int = Z_BITS) -> DataFrame:
+    """Lay rows out along a Z curve through the columns, so that a lookup by any one of them skips files.
+
+    Files are cut along the curve. The ranges of the columns are found first, one pass over each
+    column, so the input is read several times: pass a table.
+    """
+    z = F.col("_z")
+    placed = df.withColumn("_z", z_value(df, columns, bits))
+    ranged = (placed.repartitionByRange(files, z, *columns) if files else placed.repartitionByRange(z, *columns))
+    return ranged.sortWithinPartitions(z, *columns).drop("_z")
+
+
+def file_ranges(table: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(file, low_..., high_...): the least and the largest value of each column in each file."""
+    return table.groupBy(F.input_file_name().alias("file")).agg(
+        *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))])
+
+
+def opened_share(table: DataFrame, column: str) -> DataFrame:
+    """(files, share): the mean share of files that a lookup by one value of the column must open.
+
+    Every distinct value is looked up once; a file must be opened if the value lies in its range. The side
+    that is broadcast has a row per file.
+    """
+    ranges = file_ranges(table, [column])
+    values = table.select(F.col(column).alias("value")).where(F.col(column).isNotNull()).distinct()
+    files = ranges.count()      # a row per file
+    met = values.join(F.broadcast(ranges), F.col("value").between(F.col(f"low_{column}"), F.col(f"high_{column}")))
+    return met.groupBy("value").agg(F.count("*").alias("n")).agg(
+        F.lit(files).cast("long").alias("files"), (F.avg("n") / F.lit(files)).alias("share"))
