@@ -70,3 +70,21 @@ def test_train_score_watch(house, tmp_path):
     assert set(alerts.columns) == {"code", "horizon", "value", "message"}
     metrics = house.read("ml", "monitoring_metrics")
     assert {r[0] for r in metrics.select("horizon").distinct().collect()} == set(HORIZONS)
+
+
+def test_history_ledger_and_expectations(house):
+    """After training and scoring above: closed windows are entered once, counts of a batch replaced."""
+    history, ledger = house.read("gold", "churn_score_history"), house.read("ml", "performance_ledger")
+    assert history.count() == house.read("gold", "churn_scores").count() > 0
+    entered, logged = ledger.count(), house.read("ml", "monitoring_metrics").count()
+    assert entered == len(HORIZONS)
+    house.watch()
+    house.watch(as_of="1990-01-01")
+    assert house.read("ml", "performance_ledger").count() == entered
+    assert house.read("ml", "monitoring_metrics").count() == logged
+    found = house.read("ml", "expectations")
+    rows = found.count()
+    assert {r[0] for r in found.select("table_name").distinct().collect()} == {"customer_info", "usage", "calls", "cease"}
+    assert found.where("rows > 0").count() == rows
+    house.clean()
+    assert house.read("ml", "expectations").count() == rows

@@ -134,14 +134,25 @@ def null_rate_alerts(baseline: DataFrame, current: DataFrame, columns: Sequence[
 
 
 def retrospective(scores: DataFrame, ceases: DataFrame, horizons: Sequence[int] = HORIZONS,
-                  digits: int | None = None, date: str = "score_date") -> DataFrame:
-    """Quality of past scores once their windows have closed, per score date and horizon.
+                  digits: int | None = None, date: str = "score_date", as_of: Column | None = None) -> DataFrame:
+    """Quality of past scores against what happened, per score date and horizon.
 
-    One row per (entity, score date) is expected, as scoring writes them.
+    One row per (entity, score date) is expected, as scoring writes them. With ``as_of``, the date of
+    asking, only windows that have closed by then are measured; without it all are, as if closed.
     """
     wanted = scores.select(ENTITY, date, *[probability_name(h) for h in horizons])
+    if as_of is not None:       # before the join with the events: open dates need none
+        wanted = wanted.where(F.date_add(date, min(horizons)) <= as_of)
     actual = horizon_labels(wanted, ceases, horizons, observed=date)
-    return ranking_metrics(score_histogram(actual, horizons, digits, by=[date]), by=[date])
+    counted = score_histogram(actual, horizons, digits, by=[date])
+    if as_of is not None:
+        counted = counted.where(F.expr(f"date_add(`{date}`, horizon)") <= as_of)
+    return ranking_metrics(counted, by=[date])
+
+
+def newly_measured(measured: DataFrame, ledger: DataFrame, keys: Sequence[str] = ("score_date", "horizon")) -> DataFrame:
+    """The measured windows that the ledger does not hold yet: each is entered once."""
+    return measured.join(ledger.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def metric_log(metrics: DataFrame, keys: Sequence[str] = ("score_date", "horizon")) -> DataFrame:

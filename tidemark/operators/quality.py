@@ -104,6 +104,14 @@ def enforce(df: DataFrame, rules: Sequence[Rule], observation: str | Observation
     return df if not any(r.severity != WARN for r in rules) else df.where(verdict)
 
 
+def recorded(spark, table: str, batch: str, rules: Sequence[Rule], metrics: Mapping[str, int]) -> DataFrame:
+    """What an observation of ``enforce`` has counted, a row per rule:
+    (table_name, batch, rule, severity, rows, violations)."""
+    return spark.createDataFrame(
+        [(table, batch, r.name, r.severity, metrics["rows"], metrics[r.name]) for r in rules],
+        "table_name string, batch string, rule string, severity string, rows long, violations long")
+
+
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows a DROP rule removes, with the names of the rules they break."""
     broken = _names([(r.name, ~r.met) for r in rules if r.severity == DROP])

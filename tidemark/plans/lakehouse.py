@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import contract
@@ -70,13 +70,19 @@ class Lakehouse:
 
     # --- silver ---------------------------------------------------------------
 
-    def clean(self) -> dict[str, int]:
-        """Cleaned tables, laid out for lookups by entity or by date; daily usage by month."""
+    def clean(self, batch: str = "full") -> dict[str, int]:
+        """Cleaned tables, laid out for lookups by entity or by date; daily usage by month.
+
+        What each rule has found is kept in ``ml.expectations`` under the name of the batch, which is
+        replaced when the batch is cleaned again.
+        """
         raw = {t: self.read("bronze", f"raw_{t}") for t in ("customer_info", "usage", "calls", "cease")}
-        info = quality.enforce(cleaning.clean_customer_info(raw["customer_info"]), quality.SNAPSHOT_RULES)
-        usage = quality.enforce(cleaning.clean_usage(raw["usage"]), quality.USAGE_RULES)
-        calls = quality.enforce(cleaning.clean_calls(raw["calls"]), quality.CALL_RULES)
-        cease = quality.enforce(cleaning.clean_cease(raw["cease"]), quality.CEASE_RULES)
+        gated = {"customer_info": (cleaning.clean_customer_info, quality.SNAPSHOT_RULES),
+                 "usage": (cleaning.clean_usage, quality.USAGE_RULES),
+                 "calls": (cleaning.clean_calls, quality.CALL_RULES),
+                 "cease": (cleaning.clean_cease, quality.CEASE_RULES)}
+        seen = {t: Observation() for t in gated}
+        info, usage, calls, cease = (quality.enforce(clean(raw[t]), rules, seen[t]) for t, (clean, rules) in gated.items())
         put = self._put_silver
         rows = {
             "customer_info": put("customer_info", tables.z_order(info, [ENTITY, "datevalue"])),
@@ -86,10 +92,18 @@ class Lakehouse:
             "calls": put("calls", tables.z_order(calls, [ENTITY, "event_date"])),
             "cease": put("cease", tables.z_order(cease, [ENTITY, "cease_placed_date"])),
         }
+        for table, (_, rules) in gated.items():
+            self._replace("ml", "expectations", quality.recorded(self.spark, table, batch, rules, seen[table].get),
+                          ["table_name", "batch"])
         monthly = monthly_rollup(self.read("silver", "usage_daily"))
         rows["usage_monthly"] = put("usage_monthly", tables.cluster_layout(monthly, [ENTITY, "month_key"]))
         return rows
 
+    def _replace(self, layer: str, table: str, df: DataFrame, partition_by) -> int:
+        """Write the partitions that the rows touch; the table is made where there is none."""
+        name = self.name(layer, table)
+        return tables.write_table(df, name, partition_by, mode="refresh" if self.exists(layer, table) else "overwrite")
+
     def _put_silver(self, table: str, df: DataFrame, partition_by=()) -> int:
         return tables.write_table(df, self.name("silver", table), partition_by, laid_out=True)
 
@@ -164,21 +178,30 @@ class Lakehouse:
     # --- scores ---------------------------------------------------------------
 
     def score(self, thresholds: TierThresholds = TierThresholds(), models=None) -> dict[str, int]:
-        """Score the newest snapshot; publish scores and action lists."""
+        """Score the newest snapshot; publish scores and action lists, and keep the scores by their date."""
         features = latest(self.read("gold", "churn_features"))
         scored = training.predict(features, dict(sorted((models or self.champions()).items())))
         scores = score_table(tables.materialise(scored.select(
             ENTITY, OBSERVED, *[f"churn_prob_{h}d" for h in HORIZONS]), "scored"), thresholds)
         rows = {"churn_scores": tables.write_table(scores, self.name("gold", "churn_scores"))}
+        self._replace("gold", "churn_score_history", self.read("gold", "churn_scores"), ["score_date"])
         rows |= tables.write_action_lists(self.read("gold", "churn_scores"),
                                           tables.database(self.base, "gold", self.env))
         return rows
 
     # --- monitoring -----------------------------------------------------------
 
-    def watch(self) -> DataFrame:
-        """Append quality against what happened to the metric log; returns the alerts."""
-        scores = self.read("gold", "churn_scores")
-        measured = monitor.retrospective(scores, self.read("silver", "cease"))
+    def watch(self, as_of: str | None = None) -> DataFrame:
+        """Measure the windows that have closed by ``as_of`` (today), each once; returns the alerts.
+
+        All scores ever published are looked at. A window goes into ``ml.performance_ledger`` and the metric
+        log when it is measured, so asking again adds nothing.
+        """
+        day = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+        measured = monitor.retrospective(self.read("gold", "churn_score_history"), self.read("silver", "cease"), as_of=day)
+        if self.exists("ml", "performance_ledger"):
+            measured = monitor.newly_measured(measured, self.read("ml", "performance_ledger"))
+        measured = tables.materialise(measured, "measured")
+        tables.write_table(measured, self.name("ml", "performance_ledger"), mode="append")
         tables.append_log(monitor.metric_log(measured), self.name("ml", "monitoring_metrics"))
-        return monitor.score_alerts(scores)
+        return monitor.score_alerts(self.read("gold", "churn_scores"))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tidemark.operators.quality import Rule, enforce
+from tidemark.operators.quality import Rule, enforce, recorded
 from tidemark.operators.rollup import merged_months, monthly_partials, months_of
 from tidemark.sources.readers import with_ingest_meta
 from tidemark.sources.tables import evened
@@ -32,6 +32,23 @@ def refine(stream: DataFrame, clean: Callable[[DataFrame], DataFrame], rules: Se
     return enforce(clean(stream), rules, observation)
 
 
+def land_checked(stream: DataFrame, clean: Callable[[DataFrame], DataFrame], rules: Sequence[Rule], table: str,
+                 path: str, log_path: str, checkpoint: str) -> StreamingQuery:
+    """Clean and gate each micro-batch, and keep what every rule found in it.
+
+    Rows go to ``path/batch=n``, counts per rule to ``log_path/batch=n``; the counting rides on the write of
+    the rows. Both folders are replaced as a whole, so a repeated batch counts once.
+    """
+    def step(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        enforce(clean(batch), rules, seen).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        (recorded(batch.sparkSession, table, str(number), rules, seen.get).drop("batch").coalesce(1)
+         .write.mode("overwrite").parquet(f"{log_path}/batch={number}"))
+
+    return (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def monthly_refresh(daily: DataFrame, state_path: str, monthly_path: str, checkpoint: str, keep: int = 8
                     ) -> StreamingQuery:
     """Keep monthly aggregates equal to a full rollup while days arrive in any order.
