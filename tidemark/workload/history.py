@@ -35,7 +35,7 @@ cells AS (
   FROM lines l JOIN edges USING (feature) WHERE v IS NOT NULL GROUP BY ALL),
 earlier AS (SELECT slice_key, slice_value, feature, bin, sum(n) AS n FROM cells WHERE base GROUP BY ALL),
 groups AS (SELECT DISTINCT month, slice_key, slice_value, feature FROM cells WHERE NOT base),
-both AS (
+sides AS (
   SELECT g.*, b.bin,
          coalesce((SELECT sum(n) FROM cells c WHERE c.month = g.month AND c.slice_key = g.slice_key
                    AND c.slice_value = g.slice_value AND c.feature = g.feature AND c.bin = b.bin), 0) AS p,
@@ -45,7 +45,7 @@ both AS (
 shares AS (
   SELECT *, greatest(CAST(p AS DOUBLE) / sum(p) OVER w, 0.0001::DOUBLE) AS ps,
          greatest(CAST(q AS DOUBLE) / nullif(sum(q) OVER w, 0), 0.0001::DOUBLE) AS qs, sum(q) OVER w AS known
-  FROM both WINDOW w AS (PARTITION BY month, slice_key, slice_value, feature))
+  FROM sides WINDOW w AS (PARTITION BY month, slice_key, slice_value, feature))
 SELECT month, slice_key, slice_value, feature,
        CASE WHEN max(known) > 0 THEN round(sum((ps - qs) * ln(ps / qs)), 6) END AS psi,
        coalesce(CASE WHEN max(known) > 0 THEN sum((ps - qs) * ln(ps / qs)) > 0.2 END, FALSE) AS drifted
