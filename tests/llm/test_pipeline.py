@@ -10,7 +10,7 @@ from test_mixing import by_hand
 
 import __spark_entry__
 import corpus_pipeline
-from tidemark.llm import bpe, toxicity
+from tidemark.llm import bpe, exact_dedup, toxicity
 
 
 def test_stages():
@@ -71,6 +71,14 @@ def test_scratch_goes_once_a_result_is_written(spark, small, tmp_path):
         one.count()
 
 
+def test_frames_of_other_calls_outlive_a_run(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    decided = __spark_entry__.queries()["op4_exact_dedup"](spark, small)
+    kept = exact_dedup.exact_dedup(docs)
+    assert corpus_pipeline.run(spark, small).count() > 0
+    assert decided.count() == docs.count() >= kept.count() > 0
+
+
 def test_every_stage_takes_what_the_one_before_kept(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,30 +27,45 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     these tables hold texts and live as long as their folder does.
     """
     folder = fresh_folder(df.sparkSession, label)
-    _SCRATCH.setdefault(df.sparkSession.sparkContext.applicationId, []).append(folder)
+    if (owner := _OWNER.get()) is not None:
+        owner.folders.append(folder)
     df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-_SCRATCH: dict[str, list[str]] = {}     # folders by application
-_INPUTS: dict[str, set[str]] = {}       # files that the stage before read
+class Scratch:
+    """The tables that a chain of stages writes for itself, deleted when nothing needs them any more.
 
-
-def release_scratch(spark: SparkSession, docs: DataFrame) -> None:
-    """Delete the tables that earlier stages wrote for themselves.
-
-    Only if ``docs`` lies in other files than those tables and than the input of the stage
-    before: then that stage's result has been written and read again, and nothing needs them.
+    Only folders written inside ``stage`` belong to it. Frames of any other call keep theirs.
     """
-    application, files = spark.sparkContext.applicationId, set(docs.inputFiles())
-    folders = _SCRATCH.setdefault(application, [])
-    own = any(f.rsplit("/", 2)[-1] in file for f in folders for file in files)
-    if files and not own and not files & _INPUTS.get(application, set()):
-        for folder in folders:
+
+    def __init__(self):
+        self.folders: list[str] = []
+        self.inputs: set[str] = set()       # files that the stage before read
+
+    @contextmanager
+    def stage(self, docs: DataFrame) -> Iterator[None]:
+        """Before the body, delete what earlier stages left, if ``docs`` lies in other files than those tables
+        and than the input of the stage before: then that stage's result has been written and read again."""
+        files = set(docs.inputFiles())
+        own = any(f.rsplit("/", 1)[-1] in file for f in self.folders for file in files)
+        if files and not own and not files & self.inputs:
+            self.release(docs.sparkSession)
+        self.inputs = files
+        token = _OWNER.set(self)
+        try:
+            yield
+        finally:
+            _OWNER.reset(token)
+
+    def release(self, spark: SparkSession) -> None:
+        for folder in self.folders:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        folders.clear()
-    _INPUTS[application] = files
+        self.folders.clear()
+
+
+_OWNER: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
 
 
 def numbered(docs: DataFrame, label: str) -> DataFrame:

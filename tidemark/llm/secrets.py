@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, quoted, sha256_text, whole
+from tidemark.llm.common import let, materialise, quoted, sha256_text, whole
 from tidemark.llm.spans import count_of, hits, listing, overlaps
 
 KINDS = ("assign", "access", "hex", "random")
@@ -28,9 +28,9 @@ PART = r"(?<![A-Za-z0-9+-])[A-Za-z0-9+-]{10,}+"     # between = / _ and what end
 LEAST_ASSIGNED = 6
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-# share of the even distribution in a character's chance, whatever the corpus' size, and prior
-# count of a character's transitions
-EVEN, LEAN = 0.01, 10.0
+# share of the even distribution in a character's chance, whatever the corpus' size; prior count of a
+# character's transitions; least share of what an ordinary transition leans on
+EVEN, LEAN, SELDOM = 0.01, 10.0, 0.02
 # mean log-likelihood ratio of a transition, in nats, from which a token is reported; below so many
 # characters it rises with the spread of the mean
 THRESHOLD, FULL_LENGTH = 1.0, 20
@@ -85,10 +85,12 @@ def transition_counts(docs: DataFrame, scanned: DataFrame, text: str = "text") -
 def log_ratios(counts: DataFrame) -> list[float]:
     """Of every transition, row by row of the alphabet; the table is as large as the alphabet squared.
 
-    A transition's chance leans on how common its second character is, the less the more often its
-    first one was seen. Half of the random model is the even distribution: the known secrets may
-    be of one sort only, other random strings use any character; without any it is all of it. No
-    ordinary sample, no evidence: zeros.
+    A random string's transition leans on how common its second character is, the less the more often its
+    first one was seen. An ordinary one's leans on the sorts of both characters (capital, small, digit,
+    sign) and on the same letters in any case, ``SELDOM`` at least: a digit after a digit is nothing strange, even
+    where few numbers were seen. Where the words of an identifier meet, at a sign or a capital
+    after a small letter, nothing speaks for a random string. Half of the random model is the even distribution: the known secrets may be of one sort only, other random
+    strings use any character; without any it is all of it. No ordinary sample, no evidence: zeros.
     """
     size = len(ALPHABET)
     seen = {True: {}, False: {}}
@@ -96,32 +98,68 @@ def log_ratios(counts: DataFrame) -> list[float]:
         seen[random][pair] = n if random else n - 1     # a token is no witness for itself
     if not seen[False]:
         return [0.0] * (size * size)
-    single = {}
-    for r, pairs in seen.items():
-        total = sum(pairs.values())
-        single[r] = {b: (1 - EVEN) * sum(pairs.get(a + b, 0) for a in ALPHABET) / total + EVEN / size
-                     if total else 1 / size for b in ALPHABET}
+    random, ordinary = seen[True], seen[False]
+    found = sum(random.values())
+    common = {b: (1 - EVEN) * sum(random.get(a + b, 0) for a in ALPHABET) / found + EVEN / size if found else 1 / size
+              for b in ALPHABET}
+    by_sort = _by_sort(ordinary)
     out = []
     for a in ALPHABET:
-        row = {r: sum(seen[r].get(a + b, 0) for b in ALPHABET) for r in seen}
+        often, row = (sum(pairs.get(a + b, 0) for b in ALPHABET) for pairs in (random, ordinary))
+        lean = max(SELDOM, LEAN / (row + LEAN))
         for b in ALPHABET:
-            p, q = ((seen[r].get(a + b, 0) + LEAN * single[r][b]) / (row[r] + LEAN) for r in (True, False))
-            out.append(math.log((p / 2 + 0.5 / size) / q))
+            p = (random.get(a + b, 0) + LEAN * common[b]) / (often + LEAN)
+            q = (1 - lean) * ordinary.get(a + b, 0) / max(row, 1) + lean * by_sort[a + b]
+            ratio = math.log((p / 2 + 0.5 / size) / q)
+            joint = _sort(a) == "+" or _sort(b) == "+" or (_sort(a), _sort(b)) == ("a", "A")
+            out.append(min(ratio, 0.0) if joint else ratio)
+    return out
+
+
+def _sort(c: str) -> str:
+    return "A" if c.isupper() else "a" if c.islower() else "0" if c.isdigit() else "+"
+
+
+def _by_sort(ordinary: dict[str, int]) -> dict[str, float]:
+    """Of each pair, the chance of its second character by the sorts of both and, for letters, whatever their case."""
+    sized = {s: sum(_sort(c) == s for c in ALPHABET) for s in "Aa0+"}
+    moves = {(s, t): 0 for s in sized for t in sized}
+    single, lower, first = dict.fromkeys(ALPHABET, 0), {}, {}
+    for (a, b), n in ordinary.items():
+        moves[_sort(a), _sort(b)] += n
+        single[b] += n
+        if a.isalpha() and b.isalpha():
+            lower[(a + b).lower()] = lower.get((a + b).lower(), 0) + n
+            first[a.lower()] = first.get(a.lower(), 0) + n
+    heads = {s: sum(n for c, n in single.items() if _sort(c) == s) for s in sized}
+    out = {}
+    for a in ALPHABET:
+        s = _sort(a)
+        for b in ALPHABET:
+            t = _sort(b)
+            usual = 0.7 if s == t else 0.1          # runs of one sort are usual
+            move = (1 - SELDOM) * (moves[s, t] + LEAN * usual) / (
+                sum(moves[s, u] for u in sized) + LEAN) + SELDOM * usual
+            within = (single[b] + LEAN / sized[t]) / (heads[t] + LEAN)
+            if a.isalpha() and b.isalpha():
+                within = (within + lower.get((a + b).lower(), 0) / max(1, first.get(a.lower(), 0))) / 2
+            out[a + b] = move * within
     return out
 
 
 def mean_ratio(value: Column, ratios: list[float]) -> Column:
-    """Mean log-likelihood ratio of the token's transitions."""
-    # a constant the optimiser folds: one array for the whole query
+    """Mean log-likelihood ratio of the token's transitions; one pass, however long it is."""
+    # constants the optimiser folds: one array for the whole query
     table = F.split(F.lit(",".join(f"{r:.6f}" for r in ratios)), ",").cast("array<double>")
+    places = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
 
-    def place(i: Column) -> Column:
-        return F.instr(F.lit(ALPHABET), F.substr(value, i, F.lit(1)))
+    def total(place: Column) -> Column:
+        n = F.size(place) - 1
+        steps = F.zip_with(F.slice(place, F.lit(1), n), F.slice(place, F.lit(2), n),
+                           lambda a, b: F.get(table, a * len(ALPHABET) + b))
+        return F.aggregate(steps, F.lit(0.0), lambda sum_, step: sum_ + step) / n
 
-    steps = F.sequence(F.lit(1), F.length(value) - 1)
-    total = F.aggregate(steps, F.lit(0.0), lambda sum_, i: sum_ + F.element_at(
-        table, ((place(i) - 1) * len(ALPHABET) + place(i + 1)).cast("int")))
-    return total / (F.length(value) - 1)
+    return let(places, total)
 
 
 def looks_random(token: Column, ratios: list[float], threshold: float = THRESHOLD) -> Column:
