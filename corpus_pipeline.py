@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe, exact_dedup, mixing, near_dedup, toxicity
-from tidemark.llm.common import read, release_scratch
+from tidemark.llm.common import Scratch, read
 from tidemark.session import fresh_folder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -42,12 +42,15 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, bpe.share_ranks(spark, VOCABULARY, public_tokenizers.PATTERN))
 
 
+_SCRATCH: dict[str, Scratch] = {}       # of the stages below, by application
+
+
 def _tidy(stage: Stage) -> Stage:
     """The stage, after what earlier ones left in the shared folder has been deleted."""
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release_scratch(spark, docs)
-        return stage(spark, docs, sf_dir)
+        with _SCRATCH.setdefault(spark.sparkContext.applicationId, Scratch()).stage(docs):
+            return stage(spark, docs, sf_dir)
 
     return run_stage
 
