@@ -48,7 +48,7 @@ def test_train_score_watch(house, tmp_path):
     small = training.TREE_SETTINGS | {"maxDepth": 3, "minInstancesPerNode": 5}
     first = house.train(str(tmp_path), rounds=2, settings=small)
     assert {r["reason"] for r in first.collect()} == {"First model"}
-    again = house.train(str(tmp_path), rounds=2, settings=small)
+    again = house.train(str(tmp_path), rounds=2, settings=small, patience=1)
     assert {r["version"] for r in again.collect()} == {2}
     log = house.read("ml", "model_versions")
     assert log.count() == 6 and log.where("version = 1 and alias = 'Champion'").count() == 3

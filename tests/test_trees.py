@@ -1,4 +1,4 @@
-"""Contributions of boosted trees against a walk node by node in plain Python."""
+"""Contributions and rounds of boosted trees against plain Python."""
 
 import pytest
 from pyspark import SparkContext
@@ -86,9 +86,63 @@ def test_the_signal_moves_the_margin_most_and_nothing_is_shuffled(table, model):
     assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
 
 
+def test_first_rounds_score_as_the_running_margin_says(spark, table, model):
+    values = vector_to_array("_features")
+    rows = model.stages[1].transform(model.stages[0].transform(table))
+    margins = rows.select("row", trees.prefix_margins(values, trees.read_trees(spark, model)).alias("m"))
+    for n in (1, 3):
+        cut = trees.first_rounds(spark, model, n)
+        assert cut.stages[-1].getNumTrees == n
+        both = cut.transform(table).select("row", vector_to_array("rawPrediction")[1].alias("raw")).join(margins, "row")
+        assert both.where(F.abs(F.col("raw") - F.col("m")[n - 1]) > 1e-9).count() == 0
+
+
+def test_quality_of_a_round_is_average_precision(spark, table, model):
+    rows = model.stages[1].transform(model.stages[0].transform(table))
+    nodes, values = trees.read_trees(spark, model), vector_to_array("_features")
+    found = {r["rounds"]: r["auc_pr"] for r in trees.round_quality(rows, values, F.col("y"), nodes, 30).collect()}
+    plain = rows.select("y", trees.prefix_margins(values, nodes).alias("m")).collect()
+    assert sorted(found) == [1, 2, 3, 4]
+    for n, value in found.items():
+        scores = sorted({r["m"][n - 1] for r in plain}, reverse=True)
+        total = 0.0
+        for s in scores:
+            above = [r["y"] for r in plain if r["m"][n - 1] >= s]
+            total += sum(r["y"] for r in plain if r["m"][n - 1] == s) * sum(above) / len(above)
+        assert value == pytest.approx(total / sum(r["y"] for r in plain), abs=1e-9)
+
+
+@pytest.mark.parametrize(("quality", "patience", "expected"), [
+    ([.1, .3, .2, .2, .5], 2, (2, .3, 4)),      # stopped before the later rise
+    ([.1, .3, .2, .2, .5], 3, (5, .5, 5)),
+    ([.4, .4, .4], 50, (1, .4, 3)),             # the first of equal rounds
+    ([.2], 50, (1, .2, 1))])
+def test_patience(spark, quality, patience, expected):
+    rows = spark.createDataFrame([(i + 1, 30, q) for i, q in enumerate(quality)], "rounds int, horizon int, auc_pr double")
+    r = trees.stop_rounds(rows, patience).first()
+    assert (r["rounds"], r["auc_pr"], r["seen"]) == expected
+
+
+def test_a_horizon_without_positives_has_no_stop_round(spark):
+    none = spark.createDataFrame([(1, 30, None)], "rounds int, horizon int, auc_pr double")
+    assert trees.stop_rounds(none).count() == 0
+
+
+def test_fit_patient_cuts_each_model_at_its_round(spark, table):
+    labelled = table.select(
+        "row", "speed", "noise", "technology", F.col("y").cast("int").alias("churned_in_30d"),
+        F.when(F.col("row") % 3 == 0, "validation").otherwise("train").alias("split"))
+    labelled = labelled.withColumnRenamed("churned_in_30d", trees.label_name(30))
+    models, choice = trees.fit_patient(labelled, [30], NUMERIC, CATEGORICAL, 5, 1, {"maxDepth": 2, "stepSize": 0.3})
+    chosen = choice.collect()
+    assert [r["horizon"] for r in chosen] == [30]
+    assert models[30].stages[-1].getNumTrees == chosen[0]["rounds"] <= chosen[0]["seen"] <= 5
+    assert chosen[0]["seen"] == 5 or chosen[0]["seen"] - chosen[0]["rounds"] == 1
+
+
 def test_an_empty_table_gives_no_rows(table, model):
     assert told(table.limit(0), model).count() == 0
 
 
 def test_registered(spark):
-    assert {"ml_tree_contributions", "ml_mean_contributions"} <= set(QUERIES)
+    assert {"ml_tree_contributions", "ml_mean_contributions", "ml_round_quality"} <= set(QUERIES)

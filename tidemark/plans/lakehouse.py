@@ -21,7 +21,7 @@ from tidemark.operators import evaluation, monitor, quality
 from tidemark.operators.assemble import latest
 from tidemark.operators.rollup import monthly_rollup
 from tidemark.operators.temporal import horizon_labels, observation_spine
-from tidemark.plans import cleaning, training
+from tidemark.plans import cleaning, training, trees
 from tidemark.plans.features import feature_table
 from tidemark.plans.scoring import score_table
 from tidemark.sources import tables
@@ -138,11 +138,17 @@ class Lakehouse:
 
     # --- models ---------------------------------------------------------------
 
-    def train(self, model_folder: str, rounds: int = 100, settings=training.TREE_SETTINGS) -> DataFrame:
-        """Fit, judge, log and promote; returns the decisions. Champions are kept under their version."""
+    def train(self, model_folder: str, rounds: int = 100, settings=training.TREE_SETTINGS,
+              patience: int | None = None) -> DataFrame:
+        """Fit, judge, log and promote; returns the decisions. Champions are kept under their version.
+
+        With ``patience`` all rounds are grown and each model is cut at its best round on the validation
+        rows; without, the fit stops where the validation error first grows.
+        """
         table = self.read("gold", "churn_training_set").select(
             ENTITY, OBSERVED, *MODEL_FEATURES, *[label_name(h) for h in HORIZONS], "split")
-        models = training.fit_horizons(table, rounds=rounds, settings=settings)
+        models = (training.fit_horizons(table, rounds=rounds, settings=settings) if patience is None else
+                  trees.fit_patient(table, rounds=rounds, patience=patience, settings=settings)[0])
         metrics = training.evaluate(training.predict(table, models)).where(F.col("split") == "test")
         measured = tables.materialise(metrics.select(
             "horizon", F.col("auc_pr").alias("test_auc_pr"), F.col("auc_roc").alias("test_auc_roc")))

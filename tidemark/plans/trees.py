@@ -1,4 +1,4 @@
-"""Boosted trees as arrays of nodes, walked row by row in column expressions.
+"""Boosted trees as arrays of nodes, walked row by row in column expressions: contributions and patience.
 
 Every split on a row's way changes the value of the node it stands on. The change belongs to the
 feature of the split, so a row's contributions and the ensemble's base add up to its margin.
@@ -10,13 +10,15 @@ from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from tidemark.contract import CATEGORICAL_FEATURES, HORIZONS, NUMERIC_FEATURES, label_name
 from tidemark.operators.assemble import KEYS
-from tidemark.plans.training import prepared
+from tidemark.operators.evaluation import ranking_metrics
+from tidemark.plans.training import TREE_SETTINGS, fit_horizons, prepared
 from tidemark.session import fresh_folder
 
 LEAF = -1
@@ -144,3 +146,77 @@ def mean_contributions(explained_rows: DataFrame) -> DataFrame:
     """``horizon, feature, mean_abs, mean``: how far each feature moves the margin; partial sums meet, not rows."""
     return explained_rows.groupBy("horizon", "feature").agg(
         F.avg(F.abs("contribution")).alias("mean_abs"), F.avg("contribution").alias("mean"))
+
+
+def prefix_margins(values: Column, trees: Trees) -> Column:
+    """The margin after each round, first to last; all from one walk of the trees."""
+    value = _constant([repr(float(n.value)) for n in trees.nodes], "double")
+
+    def summed(leaves: Column) -> Column:
+        return F.aggregate(leaves, F.array().cast("array<double>"), lambda sums, leaf: F.concat(
+            sums, F.array(F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0.0)) + leaf)))
+
+    return summed(F.transform(paths(values, trees), lambda p: F.get(value, F.element_at(p, -1))))
+
+
+def round_quality(rows: DataFrame, values: Column, outcome: Column, trees: Trees, horizon: int) -> DataFrame:
+    """``rounds, horizon, auc_pr``: average precision of the first 1, 2, ... trees, in one pass over the rows.
+
+    Rows without an outcome are left out. What is shuffled are counts per (round, margin).
+    """
+    long = rows.select(outcome.cast("bigint").alias("y"), F.posexplode(prefix_margins(values, trees)).alias("_r", "score"))
+    hist = (long.where("y IS NOT NULL").groupBy((F.col("_r") + 1).alias("rounds"), F.lit(horizon).alias("horizon"), "score")
+            .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
+    return ranking_metrics(hist, by=["rounds"]).select("rounds", "horizon", "auc_pr")
+
+
+def stop_rounds(quality: DataFrame, patience: int = 50) -> DataFrame:
+    """``horizon, rounds, auc_pr, seen``: the best round before ``patience`` rounds went by without a better one.
+
+    Of equal rounds the first stays. ``seen`` is the round at which to stop; a row per round and
+    horizon comes in, so one horizon's rounds make one small window.
+    """
+    order = Window.partitionBy("horizon").orderBy("rounds")
+    best = F.max_by(F.struct("rounds", "auc_pr"), F.struct("auc_pr", -F.col("rounds"))).over(order)
+    walked = quality.where("auc_pr IS NOT NULL").withColumn("best", best)
+    last = F.max("rounds").over(Window.partitionBy("horizon"))
+    walked = walked.withColumn("ends", (F.col("rounds") - F.col("best.rounds") >= patience) | (F.col("rounds") == last))
+    return (walked.where("ends").groupBy("horizon").agg(F.min_by("best", "rounds").alias("best"), F.min("rounds").alias("seen"))
+            .select("horizon", "best.rounds", "best.auc_pr", "seen"))
+
+
+def first_rounds(spark: SparkSession, model: PipelineModel, rounds: int) -> PipelineModel:
+    """The model with its first trees only, by way of its saved form."""
+    full, short = fresh_folder(spark, "all-rounds"), fresh_folder(spark, "first-rounds")
+    model.stages[-1].write().save(full)
+    for part in ("data", "treesMetadata"):
+        saved = spark.read.parquet(f"{full}/{part}")
+        saved.where(saved[saved.columns[0]] < rounds).write.parquet(f"{short}/{part}")   # the tree's number comes first
+    count = F.regexp_replace("value", r'"numTrees":\d+', f'"numTrees":{rounds}')
+    spark.read.text(f"{full}/metadata").select(count).coalesce(1).write.text(f"{short}/metadata")
+    return PipelineModel(stages=[*model.stages[:-1], GBTClassificationModel.load(short)])
+
+
+def fit_patient(labelled: DataFrame, horizons: Sequence[int] = HORIZONS,
+                numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES,
+                rounds: int = 100, patience: int = 50, settings: Mapping[str, object] = TREE_SETTINGS,
+                seed: int = 42) -> tuple[dict[int, PipelineModel], DataFrame]:
+    """A model per horizon cut at its stop round, and ``horizon, rounds, auc_pr, seen`` of the choice.
+
+    All ``rounds`` are grown on the train rows; average precision on the validation rows chooses.
+    A horizon without a positive there, or without rows there, keeps all rounds and has no row in the choice.
+    """
+    spark = labelled.sparkSession
+    models = fit_horizons(labelled, horizons, numeric, categorical, rounds, False, settings, seed)
+    validation, choice = labelled.where(F.col("split") == "validation"), None
+    for h, model in models.items():
+        rows = prepared(validation, model, numeric, categorical)
+        quality = round_quality(rows, vector_to_array("_features"), F.col(label_name(h)), read_trees(spark, model), h)
+        choice = quality if choice is None else choice.unionByName(quality)
+    if choice is None:
+        raise ValueError("no horizon")
+    folder = fresh_folder(spark, "stop-rounds")     # a row per horizon, read twice
+    stop_rounds(choice, patience).write.parquet(folder)
+    chosen = spark.read.parquet(folder)
+    kept = {r["horizon"]: r["rounds"] for r in chosen.collect()}
+    return {h: first_rounds(spark, m, kept[h]) if h in kept else m for h, m in models.items()}, chosen

@@ -19,6 +19,11 @@ _ORDER_TREES = Trees(("price", "priority", "month"), (0, 5), (
     Node(0.005, 2, 6.0, (), 6, 7), Node(-0.1), Node(0.08, 0, 200000.0, (), 8, 9), Node(0.04), Node(0.16)), 2)
 
 
+def _order_values():
+    return F.array(F.col("o_totalprice").cast("double"), F.substring("o_orderpriority", 1, 1).cast("double"),
+                   F.month("o_orderdate").cast("double"))
+
+
 @query("ml_tree_contributions", """
 WITH o AS (SELECT o_orderkey, o_totalprice AS price, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority,
                   month(o_orderdate) AS month FROM orders),
@@ -33,9 +38,7 @@ SELECT o_orderkey, round(CAST(0.105 AS DOUBLE), 6) AS base, round(CAST(margin AS
        round(CAST(by_price AS DOUBLE), 6) AS by_price, round(CAST(by_priority AS DOUBLE), 6) AS by_priority,
        round(CAST(by_month AS DOUBLE), 6) AS by_month FROM c""")
 def _(spark, d):
-    values = F.array(F.col("o_totalprice").cast("double"), F.substring("o_orderpriority", 1, 1).cast("double"),
-                     F.month("o_orderdate").cast("double"))
-    told = given.table(spark, d, "orders").select("o_orderkey", trees.explained(values, _ORDER_TREES).alias("told"))
+    told = given.table(spark, d, "orders").select("o_orderkey", trees.explained(_order_values(), _ORDER_TREES).alias("told"))
     by = [(F.col("told.contributions")[i] + 0.0).alias(f"by_{f}") for i, f in enumerate(_ORDER_TREES.features)]
     return rounded(told.select("o_orderkey", "told.base", "told.margin", *by), 6,
                    "base", "margin", "by_price", "by_priority", "by_month")
@@ -52,3 +55,20 @@ def _(spark, d):
     table = spark.read.parquet(folder)
     models = training.fit_horizons(table, rounds=10, validate=False)
     return trees.mean_contributions(trees.contributions(table, models))
+
+
+@query("ml_round_quality", """
+WITH o AS (SELECT o_totalprice AS price, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority,
+                  month(o_orderdate) AS month, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y FROM orders),
+t AS (SELECT y, CASE WHEN price <= 100000 THEN CASE WHEN priority IN (1, 2) THEN 0.3 ELSE -0.5 END ELSE 0.7 END AS first,
+             CASE WHEN month <= 6 THEN -0.1 WHEN price <= 200000 THEN 0.04 ELSE 0.16 END AS second FROM o),
+m AS (SELECT 1 AS rounds, first AS score, y FROM t UNION ALL SELECT 2, first + second, y FROM t),
+h AS (SELECT rounds, score, sum(y) AS pos, count(*) AS n FROM m GROUP BY ALL),
+r AS (SELECT rounds, pos, sum(pos) OVER w AS tp, sum(n) OVER w AS above, sum(pos) OVER (PARTITION BY rounds) AS total
+      FROM h WINDOW w AS (PARTITION BY rounds ORDER BY score DESC))
+SELECT rounds, 30 AS horizon, round(sum(pos * tp / above) / max(total), 6) AS auc_pr FROM r GROUP BY rounds""")
+def _(spark, d):
+    """Average precision of finished orders after each of the two trees."""
+    done = F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)
+    quality = trees.round_quality(given.table(spark, d, "orders"), _order_values(), done, _ORDER_TREES, 30)
+    return rounded(quality, 6, "auc_pr")
