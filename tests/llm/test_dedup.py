@@ -154,3 +154,19 @@ def test_components_of_a_long_chain(spark):
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys((100, 101, 102), 100),
                    **dict.fromkeys(range(200, 260), 200)}
+
+
+def test_what_is_connected_is_not_compared_again(spark):
+    # one lead: 3,000 members of one component, 40 outside it in three others
+    members = spark.createDataFrame([(0, b, 1) for b in range(1, 3001)] + [(0, b, 5000 + b % 3) for b in range(4000, 4040)]
+                                    + [(9, b, 7) for b in range(6000, 6100)], "a long, b long, component long")
+    spread = near_dedup._spread(members)
+    assert [tuple(r) for r in spread.collect()] == [(0, 1, 12, 1)]
+    cells = near_dedup._dealt(members, spread).toPandas()
+    assert len(cells) == 3000 + 40 * 13
+    met = set()
+    for (first, second), cell in cells.groupby(["first", "second"]):
+        left, right = (cell, cell) if first == second else (cell[cell.side == 0], cell[cell.side == 1])
+        met |= {(min(x, y), max(x, y)) for x in left.b for y in right.b if x != y}
+    outside = range(4000, 4040)
+    assert met == {(x, y) for y in outside for x in [*range(1, 3001), *outside] if x < y}

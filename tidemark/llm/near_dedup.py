@@ -6,9 +6,10 @@ Candidates of a shared key are confirmed on their full shingle sets.
 
 Documents with equal sets are one class first, so copies cost nothing further. The members of
 each bucket are compared with its least one, the lead. Where those of one lead are then still in
-more than one component, they are compared with each other in blocks of bounded size, by how
-each differs from the lead. So no link within a bucket is lost, all pairs of a group are never
-listed, and only links that connect something new come out of a block.
+more than one component, the members outside its largest one are compared with all, in blocks
+of bounded size, by how each differs from the lead. So no link within a bucket is lost, all
+pairs of a group are never listed, what is connected is not compared again, and only links that
+connect something new come out of a block.
 """
 
 from __future__ import annotations
@@ -184,10 +185,10 @@ def _block_pairs(m: int, percent: int):
     enough = math.floor(count * share - 5.5 * math.sqrt(count * share * (1 - share)))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
-        same = left.empty or right.empty
-        if same:
-            left = right = frame
+        same = frame["first"].iat[0] == frame["second"].iat[0]
+        left, right = (frame, frame) if same else (frame[frame["side"] == 0], frame[frame["side"] == 1])
+        if left.empty or right.empty:
+            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64), "sure": np.empty(0, bool)})
         n_l, n_r = left["size_b"].to_numpy()[:, None], right["size_b"].to_numpy()[None]
         fit = (left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None]) & (
             100 * np.minimum(n_l, n_r) >= percent * np.maximum(n_l, n_r))
@@ -243,6 +244,39 @@ def _joining(at_l: np.ndarray, at_r: np.ndarray, parts_l: np.ndarray, parts_r: n
     return out
 
 
+def _spread(placed: DataFrame) -> DataFrame:
+    """Leads ``a`` with members in several components: the largest one, how many blocks it takes
+    (``inner``), and how many the members outside it take (``outer``)."""
+    def blocks(rows: Column) -> Column:
+        return F.ceil(rows / BLOCK).cast("int")
+
+    sizes = placed.groupBy("a", "component").agg(F.count("*").alias("n"))
+    most = F.max(F.struct("n", "component"))
+    return (sizes.groupBy("a").agg(most.alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts"))
+            .where("parts > 1").select("a", F.col("most.component").alias("largest"),
+                                       blocks(F.col("most.n")).alias("inner"),
+                                       blocks(F.col("n") - F.col("most.n")).alias("outer")))
+
+
+def _dealt(members: DataFrame, spread: DataFrame) -> DataFrame:
+    """Members with every pair of blocks (``first``, ``second``) and the ``side`` they are on there.
+
+    Blocks below ``outer`` hold what is outside the largest component and meet each other and
+    all further blocks. Those never meet each other, as all in them is connected.
+    """
+    def share(count: Column) -> Column:
+        return F.pmod(F.xxhash64("b"), count).cast("int")
+
+    outside = F.col("component") != F.col("largest")
+    mine = F.when(outside, share(F.col("outer"))).otherwise(F.col("outer") + share(F.col("inner")))
+    met = F.when(outside, F.col("outer") + F.col("inner")).otherwise(F.col("outer"))
+    cells = F.transform(F.sequence(F.lit(0), F.col("met") - 1), lambda other: F.struct(
+        F.least(other, F.col("mine")).alias("first"), F.greatest(other, F.col("mine")).alias("second"),
+        (F.col("mine") > other).cast("int").alias("side")))
+    return (members.join(spread, "a").withColumns({"mine": mine, "met": met})
+            .withColumn("cell", F.explode(cells)).select(*members.columns, "cell.*"))
+
+
 def _links(reps: DataFrame, base: DataFrame, words: int, percent: int, m: int) -> DataFrame | None:
     """Links between classes that connect all that are alike; None if there is no candidate."""
     keyed = reps.select("row", F.explode(_keys(F.col("signature"), m)).alias("key"))
@@ -263,19 +297,10 @@ def _links(reps: DataFrame, base: DataFrame, words: int, percent: int, m: int) -
     parts = components(links)
     placed = materialise(judged.join(parts, F.col("b") == F.col("node"), "left")
                          .withColumn("component", F.coalesce("component", "b")).drop("node"), "near-placed")
-    spread = materialise(
-        placed.groupBy("a")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rest"))
-        .where("low <> high").select("a", F.ceil(F.col("rest") / BLOCK).cast("int").alias("blocks")), "near-spread")
+    spread = materialise(_spread(placed), "near-spread")
     if spread.isEmpty():
         return links
-    signatures = reps.select(F.col("row").alias("b"), "signature")
-    mine = F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")
-    cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
-        F.least(other, F.col("mine")).alias("first"), F.greatest(other, F.col("mine")).alias("second"),
-        (F.col("mine") > other).cast("int").alias("side")))
-    members = (placed.join(spread, "a").join(signatures, "b").withColumn("mine", mine)
-               .withColumn("cell", F.explode(cells)).select(*placed.columns, "signature", "cell.*"))
+    members = _dealt(placed.join(reps.select(F.col("row").alias("b"), "signature"), "b"), spread)
     pairs = materialise(members.groupBy("a", "first", "second")
                         .applyInPandas(_block_pairs(m, percent), "a long, b long, sure boolean"), "near-pairs")
     links = links.unionByName(pairs.where("sure").select("a", "b"))
