@@ -108,10 +108,33 @@ def test_unreliable_labelers_count_less():
     belief = pii.believed(patterns)
     assert belief[0] > 0.9 and belief[1] > 0.9 and belief[2] < 0.1 and belief[3] < 0.1
     weights = pii.span_classifier(patterns, belief)
-    assert len(weights) == len(pii.KINDS) + 2 * len(pii.VOTES) + 1
+    assert len(weights) == 2 * len(pii.KINDS) + 2 * len(pii.VOTES) + 1
     assert pii.believed([]) == [] and len(pii.span_classifier([], [])) == len(weights)
 
 
+WIDER = ["contact: jane.doe [at] example [dot] com", "email jane (at) example.org", "write to jane at example dot net",
+         "e-mail: jane @ example.de", "server 192[.]168[.]7[.]20", "ip address 10 . 20 . 30 . 40", "host 172.16.4[.]9",
+         "credit card 4111.1111.1111.1111", "visa 4111/1111/1111/1111", "payment card 3782-822463-10005",
+         "phone (212) 555-0143", "call 212-555-0199 or 212-555-0198", "tel 030 12345678", "fax 0049 30 1234567",
+         "mobile 0171/2345678"]
+OTHER = ["version 12[.]300[.]999[.]4", "order 4111.1111.1111.1112", "on 2024-05-17 at 10:30:59", "ISBN 978-0-13-468599-1",
+         "invoice 212-555-0143", "meet at noon dot", "look at example.com", "a price of 1.234.567,89", "section 4 . 12 . 8",
+         "release 00 49 30 12 34 5678 9"]
+
+
+def test_wider_forms_are_decided(spark):
+    base = [f"words around a{i}@mail.com and more" for i in range(60)] + [f"then 10.0.{i}.7 came" for i in range(60)]
+    base += ["pay 4111 1111 1111 1111 or 4111111111111112 now"] * 40 + [f"dial +1 (212) 555-01{i}" for i in range(10, 50)]
+    docs = frame(spark, base + WIDER + OTHER)[0]
+    got = {r.doc_id: r for r in pii.digest(pii.find_personal(docs)).collect()}
+    found = [got[len(base) + i].n_spans for i in range(len(WIDER))]
+    assert [w for w, n in zip(WIDER, found, strict=True) if not n] == []
+    assert found[11] == 2           # the second number's context goes back over the first
+    refused = [got[len(base) + len(WIDER) + i].spans for i in range(len(OTHER))]
+    assert [o for o, s in zip(OTHER, refused, strict=True) if s] == []
+    assert all(got[i].n_spans == sum(got[i][f"n_{k}"] for k in pii.KINDS) for i in range(len(base)))
+
+
 def test_empty(spark):
     none = frame(spark, [""])[0].limit(0)
     assert secrets.digest(secrets.find_secrets(none)).count() == 0

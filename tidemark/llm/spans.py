@@ -39,17 +39,26 @@ def running_sums(numbers: Column) -> Column:
         let(F.ceil(F.sqrt(F.size(n))).cast("int"), lambda width: in_blocks(n, width))))
 
 
-def hits(text: Column, pattern: str, group: int = 0) -> Column:
+def hits(text: Column, pattern: str, group: int = 0, over: int = 0) -> Column:
     """Leftmost non-overlapping matches: start, end, value of the group, and what stands around.
 
     The pieces between matches and the matches themselves, end to end, give the places. A text
-    without a match is looked at once.
+    without a match is looked at once. What stands before a match goes back over that many of
+    the matches before it.
     """
+    def before(s: Column, i: Column) -> Column:
+        tail = F.get(s["piece"], i)
+        if over:
+            earlier = [F.coalesce(F.get(s[name], i - back), F.lit(""))
+                       for back in range(over, 0, -1) for name in ("piece", "hit")]
+            tail = F.concat(*[F.right(e, F.lit(BEFORE)) for e in earlier], tail)
+        return F.right(tail, F.lit(BEFORE))
+
     def placed(s: Column) -> Column:
         steps = F.transform(s["hit"], lambda h, i: F.length(h) + F.length(F.get(s["piece"], i)))
         return let(running_sums(steps), lambda ends: F.transform(s["hit"], lambda h, i: F.struct(
             (F.get(ends, i) - F.length(h)).cast("int").alias("start"), F.get(ends, i).cast("int").alias("end"),
-            F.get(s["value"], i).alias("value"), F.right(F.get(s["piece"], i), F.lit(BEFORE)).alias("before"),
+            F.get(s["value"], i).alias("value"), before(s, i).alias("before"),
             F.left(F.get(s["piece"], i + 1), F.lit(1)).alias("after"))))
 
     whole_hit = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
