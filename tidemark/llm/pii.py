@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import let, materialise, quoted, sha256_text, whole
-from tidemark.llm.spans import count_of, digits, hits, listing, overlaps
+from tidemark.llm.spans import HIT, count_of, digits, hits, listing, nothing, overlaps
 
 KINDS = ("email", "ip", "card", "phone")
 # Possessive runs that start where a run starts, or where the last match ended: the same
@@ -29,9 +31,12 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _AT = r"(?:\x20{0,2}[\[({]\x20?(?:@|at|AT)\x20?[\])}]\x20{0,2}|\x20{1,2}@\x20{0,2}|@\x20{1,2})"
 _DOT = r"\x20{0,2}[\[({]\x20?(?:\.|dot|DOT)\x20?[\])}]\x20{0,2}|\x20{1,2}(?:dot|DOT)\x20{1,2}"
 _NAME, _LABEL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++", r"[A-Za-z0-9-]++"
-WIDE_EMAILS = (rf"{_NAME}{_AT}{_LABEL}(?:(?:\.|{_DOT}){_LABEL})++",           # spaced or bracketed
-               rf"{_NAME}\x20(?:at|AT)\x20{_LABEL}(?:(?:{_DOT}){_LABEL})++",   # in words
-               rf"{_NAME}@{_LABEL}(?:(?:{_DOT}){_LABEL})++")
+_OPEN = ("[", "(", "{")
+WIDE_EMAILS = {     # with what a text must hold for a match, so that most texts are not searched
+    rf"{_NAME}{_AT}{_LABEL}(?:(?:\.|{_DOT}){_LABEL})++": (("@ ", " @", *_OPEN), ("@", "at", "AT")),
+    rf"{_NAME}\x20(?:at|AT)\x20{_LABEL}(?:(?:{_DOT}){_LABEL})++": ((" at ", " AT "), ("dot", "DOT", *_OPEN)),
+    rf"{_NAME}@{_LABEL}(?:(?:{_DOT}){_LABEL})++": (("@",), ("dot", "DOT", *_OPEN)),
+}
 _STOP = r"(?:\x20?[\[(](?:\.|dot)[\])]\x20?|\x20\.\x20|\.)"
 WIDE_IP = rf"(?<![0-9.])[0-9]{{1,3}}(?:{_STOP}[0-9]{{1,3}}){{3}}(?![0-9.])"
 WIDE_CARD = r"(?<![0-9])[0-9]{4}([./_]|\x20{2}|\x20-\x20)[0-9]{4}\1[0-9]{4}\1[0-9]{4,7}(?![0-9])"
@@ -118,8 +123,13 @@ def propose(text: Column) -> Column:
     def good_card(v: Column) -> Column:
         return let(digits(v), lambda d: F.length(d).between(16, 19) & luhn(d))
 
-    def found(pattern: str) -> Column:
-        return hits(text, pattern, over=2)
+    def found(pattern: str, *needs: tuple[str, ...]) -> Column:
+        """Matches; searched for only in texts that hold one of each of ``needs``, as every match does."""
+        at = hits(text, pattern, over=2)
+        if not needs:
+            return at
+        held = [reduce(or_, [text.contains(mark) for mark in marks]) for marks in needs]
+        return F.when(reduce(and_, held), at).otherwise(nothing(HIT))
 
     def issuer(v: Column) -> Column:
         return _vote(digits(v).rlike(CARD_ISSUERS), ~digits(v).rlike(CARD_ISSUERS))
@@ -142,13 +152,13 @@ def propose(text: Column) -> Column:
                        unfit=lambda v: let(digits(v), lambda d: (F.length(d) > 19) | ~luhn(d)))
     phones = _proposals(3, found(PHONE), right_size, country,
                         lambda v: _vote(v.rlike(r"[\x20().-]"), ~right_size(v)))
-    wide = [_proposals(0, found(pattern), None,
+    wide = [_proposals(0, found(pattern, *needs), None,
                        lambda v: _vote(F.regexp_extract(F.lower(v), "([a-z0-9-]+)$", 1).isin(*TOP_DOMAINS),
                                        v.rlike("[0-9-]$")),
                        lambda v: _vote(v.rlike(r"[\])}]|\x20(?:dot|DOT)\x20"), v.rlike(r"^[.%+-]|\.\.")))
-            for pattern in WIDE_EMAILS]
+            for pattern, needs in WIDE_EMAILS.items()]
     # plain dots only are the base pattern's
-    marked = F.filter(found(WIDE_IP), lambda h: h["value"].rlike(r"[\[(\x20]"))
+    marked = F.filter(found(WIDE_IP, ("[", "(", " . ")), lambda h: h["value"].rlike(r"[\[(\x20]"))
     wide.append(_proposals(1, marked, None, lambda v: _vote(~v.rlike(r"^0"), v.rlike(r"^0")),
                            lambda v: _vote(dotted(v).rlike(_ADDRESS) & parts_plain(dotted(v)), ~dotted(v).rlike(_ADDRESS))))
     wide.append(_proposals(2, found(WIDE_CARD), None, issuer, lambda v: _vote(luhn(digits(v)), ~luhn(digits(v)))))
