@@ -56,6 +56,28 @@ def test_reload_gives_the_same_scores(table, models, tmp_path):
     assert again.exceptAll(first).count() == 0
 
 
+def test_every_fit_reads_rows_that_are_prepared_once(table, monkeypatch):
+    fit, plans = training.GBTClassifier.fit, []
+
+    def looked_at(self, rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return fit(self, rows)
+
+    monkeypatch.setattr(training.GBTClassifier, "fit", looked_at)
+    training.fit_horizons(table, rounds=1, settings={"maxDepth": 1})
+    assert len(plans) == 3 and all("InMemoryTableScan" in plan for plan in plans)
+    assert table.sparkSession._jsparkSession.sharedState().cacheManager().isEmpty()
+
+
+def test_rows_are_prepared_once_for_all_horizons(table, models, tmp_path, monkeypatch):
+    prepare, calls = training.prepared, []
+    monkeypatch.setattr(training, "prepared", lambda *given: calls.append(given) or prepare(*given))
+    training.save_models(models, str(tmp_path))
+    again = training.predict(table, training.load_models(str(tmp_path)))
+    assert len(calls) == 1
+    assert again.columns == table.columns + [probability_name(h) for h in HORIZONS]
+
+
 def test_unseen_category_is_scored(spark, table, models):
     odd = table.limit(5).withColumn("technology", F.lit("never seen"))
     assert training.predict(odd, models).where("churn_prob_30d is null").count() == 0
