@@ -86,6 +86,20 @@ def test_the_signal_moves_the_margin_most_and_nothing_is_shuffled(table, model):
     assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
 
 
+def test_horizons_that_prepare_alike_are_walked_together(table, model):
+    rows = trees.contributions(table, {30: model, 60: model}, ["row"], NUMERIC, CATEGORICAL)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert rows.count() == 2 * told(table, model).count()
+
+
+def test_lists_that_are_null_or_too_short(spark):
+    hand = Trees(("a", "b"), (0,), (Node(1.0, 1, 0.0, (), 1, 2), Node(3.0), Node(-1.0)), 1)
+    rows = spark.createDataFrame([(1, [5.0, -1.0]), (2, [5.0]), (3, None), (4, [5.0, -1.0, 7.0])], "id int, v array<double>")
+    found = {r["id"]: tuple(r["e"]) for r in rows.coalesce(1).select("id", trees.explained(F.col("v"), hand).alias("e")).collect()}
+    assert found == {1: (1.0, 3.0, [0.0, 2.0]), 2: (1.0, -1.0, [0.0, -2.0]), 3: (1.0, -1.0, [0.0, -2.0]),
+                     4: (1.0, 3.0, [0.0, 2.0])}
+
+
 def test_first_rounds_score_as_the_running_margin_says(spark, table, model):
     values = vector_to_array("_features")
     rows = model.stages[1].transform(model.stages[0].transform(table))

@@ -1,4 +1,4 @@
-"""Boosted trees as arrays of nodes, walked row by row in column expressions: contributions and patience.
+"""Boosted trees as arrays of nodes, walked for whole Arrow batches of rows: contributions and patience.
 
 Every split on a row's way changes the value of the node it stands on. The change belongs to the
 feature of the split, so a row's contributions and the ensemble's base add up to its margin.
@@ -6,9 +6,12 @@ feature of the split, so a row's contributions and the ensemble's base add up to
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.contract import CATEGORICAL_FEATURES, HORIZONS, NUMERIC_FEATURES, label_name
 from tidemark.operators.assemble import KEYS
 from tidemark.operators.evaluation import ranking_metrics
-from tidemark.plans.training import TREE_SETTINGS, fit_horizons, prepared
+from tidemark.plans.training import TREE_SETTINGS, fit_horizons, prepared, prepared_by
 from tidemark.session import fresh_folder
 
 LEAF = -1
@@ -65,59 +68,88 @@ def read_trees(spark: SparkSession, model: PipelineModel) -> Trees:
     return Trees(names, tuple(roots), tuple(nodes), max(t.depth for t in boosted.trees))
 
 
-def _once(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def _constant(values: Sequence[object], kind: str) -> Column:
     # one literal the optimiser folds into an array, not an expression for each node
     return F.split(F.lit(",".join(str(v) for v in values)), ",").cast(f"array<{kind}>")
 
 
-def paths(values: Column, trees: Trees) -> Column:
-    """Of every tree the nodes that a row passes, root to leaf. A missing value goes right."""
-    nodes = trees.nodes
-    feature, left, right = (_constant([n[i] for n in nodes], "int") for i in (1, 4, 5))
-    threshold = _constant([repr(float(n.threshold)) for n in nodes], "double")
-    categories = _constant(["".join(f" {c} " for c in n.categories) for n in nodes], "string")
-
-    def onward(at: Column) -> Column:
-        value = F.get(values, F.get(feature, at))
-        named = F.concat(F.lit(" "), value.cast("int").cast("string"), F.lit(" "))
-        goes_left = F.when(F.get(categories, at) == "", value <= F.get(threshold, at)).otherwise(
-            F.instr(F.get(categories, at), named) > 0)
-        return F.when(F.coalesce(goes_left, F.lit(False)), F.get(left, at)).otherwise(F.get(right, at))
+def _table(trees: Trees) -> dict[str, np.ndarray]:
+    """Columns of the nodes. A leaf leads to itself, so a walk may go on past it."""
+    nodes, places = trees.nodes, np.arange(len(trees.nodes))
+    leaf = np.array([n.left == LEAF for n in nodes])
+    listed = [i for i, n in enumerate(nodes) if n.categories]
+    by_category, named = np.full(len(nodes), -1), np.zeros(
+        (len(listed), 1 + max((c for i in listed for c in nodes[i].categories), default=0)), bool)
+    for at, i in enumerate(listed):
+        by_category[i] = at
+        named[at, list(nodes[i].categories)] = True
+    return {"feature": np.where(leaf, 0, [n.feature for n in nodes]), "value": np.array([n.value for n in nodes], float),
+            "threshold": np.array([n.threshold for n in nodes], float), "by_category": by_category, "named": named,
+            "left": np.where(leaf, places, [n.left for n in nodes]), "right": np.where(leaf, places, [n.right for n in nodes])}
+
+
+def _dense(lists: pa.ListArray, width: int) -> np.ndarray:
+    """A line for each row and a column for each feature; nulls and what a list lacks are NaN."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    if (sizes == width).all():
+        return flat.reshape(-1, width)
+    out = np.full((len(lists), width), np.nan)
+    row = np.repeat(np.arange(len(lists)), sizes)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    kept = place < width
+    out[row[kept], place[kept]] = flat[kept]
+    return out
 
-    def step(path: Column, _: Column) -> Column:
-        return _once(F.element_at(path, -1), lambda at: F.when(F.get(left, at) == LEAF, path).otherwise(
-            F.concat(path, F.array(onward(at)))))
 
-    steps = F.sequence(F.lit(1), F.lit(max(trees.depth, 1)))
-    return F.transform(_constant(trees.roots, "int"), lambda root: F.aggregate(steps, F.array(root), step))
+def _steps(dense: np.ndarray, root: int, depth: int, table: Mapping[str, np.ndarray]) -> Iterator[np.ndarray]:
+    """The node of every row, from the root on, ``depth`` steps down one tree. A missing value goes right."""
+    first, flat, named = np.arange(len(dense)) * dense.shape[1], dense.ravel(), table["named"]
+    at = np.full(len(dense), root)
+    yield at
+    for _ in range(depth):
+        value = flat[first + table["feature"][at]]
+        goes_left = value <= table["threshold"][at]
+        if len(named):
+            which = table["by_category"][at]
+            here = np.flatnonzero(which >= 0)
+            code = np.trunc(value[here])
+            known = (code >= 0) & (code < named.shape[1])
+            goes_left[here] = known & named[which[here], np.where(known, code, 0).astype(int)]
+        at = np.where(goes_left, table["left"][at], table["right"][at])
+        yield at
 
 
-def explained(values: Column, trees: Trees) -> Column:
-    """Struct of ``base``, ``margin`` and ``contributions``, one for each feature in order."""
-    feature = _constant([n.feature for n in trees.nodes], "int")
-    value = _constant([repr(float(n.value)) for n in trees.nodes], "double")
+def _lists(matrix: np.ndarray) -> pa.ListArray:
+    lines, width = matrix.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(lines + 1, dtype=np.int32) * width), pa.array(matrix.ravel()))
 
-    def changes(path: Column) -> Column:
-        return F.transform(F.slice(path, F.lit(2), F.size(path)), lambda node, i: F.struct(
-            F.get(feature, F.get(path, i)).alias("feature"),
-            (F.get(value, node) - F.get(value, F.get(path, i))).alias("change")))
 
-    def by_feature(changed: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(len(trees.features) - 1)), lambda f: F.aggregate(
-            F.filter(changed, lambda c: c["feature"] == f), F.lit(0.0), lambda total, c: total + c["change"]))
+def _width(trees: Trees) -> int:
+    return max(len(trees.features), 1 + max((n.feature for n in trees.nodes), default=0), 1)
 
-    def told(passed: Column) -> Column:
-        return F.struct(
-            F.lit(float(sum(trees.nodes[r].value for r in trees.roots))).alias("base"),
-            F.aggregate(passed, F.lit(0.0), lambda total, p: total + F.get(value, F.element_at(p, -1))).alias("margin"),
-            _once(F.flatten(F.transform(passed, changes)), by_feature).alias("contributions"))
 
-    return _once(paths(values, trees), told)
+def explained(values: Column, trees: Trees) -> Column:
+    """Struct of ``base``, ``margin`` and ``contributions``, one for each feature in order."""
+    table, width = _table(trees), _width(trees)
+    roots, depth, features = trees.roots, trees.depth, len(trees.features)
+    base = float(sum(trees.nodes[r].value for r in roots))
+
+    def told(lists: pa.Array) -> pa.Array:
+        dense = _dense(lists, width)
+        margin, moved = np.zeros(len(dense)), np.zeros((len(dense), width))
+        first, flat = np.arange(len(dense)) * width, moved.ravel()
+        for root in roots:
+            before = None
+            for at in _steps(dense, root, depth, table):
+                if before is not None:
+                    flat[first + table["feature"][before]] += table["value"][at] - table["value"][before]
+                before = at
+            margin += table["value"][before]
+        return pa.StructArray.from_arrays(
+            [pa.array(np.full(len(dense), base)), pa.array(margin), _lists(moved[:, :features])], ["base", "margin", "contributions"])
+
+    return F.arrow_udf(told, "base double, margin double, contributions array<double>")(values.cast("array<double>"))
 
 
 def contributions(features: DataFrame, models: Mapping[int, PipelineModel], keys: Sequence[str] = KEYS,
@@ -127,14 +159,19 @@ def contributions(features: DataFrame, models: Mapping[int, PipelineModel], keys
 
     The probability is the logistic function of twice the margin. Nothing is shuffled.
     """
-    spark, out = features.sparkSession, None
+    spark, together, out = features.sparkSession, {}, None
     for h, model in models.items():
-        trees = read_trees(spark, model)
+        together.setdefault(tuple(prepared_by(model)), {})[h] = model
+    for alike in together.values():         # rows are prepared once for models that prepare alike
+        known = {h: read_trees(spark, model) for h, model in alike.items()}
+        model = next(iter(alike.values()))
         rows = prepared(features, model, numeric, categorical).select(
-            *keys, F.lit(h).alias("horizon"), explained(vector_to_array("_features"), trees).alias("_told"))
-        names = _constant(trees.features, "string")
-        long = rows.select(*keys, "horizon", "_told.base", "_told.margin",
-                           F.posexplode("_told.contributions").alias("_f", "contribution"))
+            *keys, vector_to_array("_features").alias("_values"))
+        told = F.array(*[F.struct(F.lit(h).alias("horizon"), explained(F.col("_values"), t).alias("told")) for h, t in known.items()])
+        names = _constant(next(iter(known.values())).features, "string")
+        each = rows.select(*keys, F.explode(told).alias("_of"))
+        long = each.select(*keys, "_of.horizon", "_of.told.base", "_of.told.margin",
+                           F.posexplode("_of.told.contributions").alias("_f", "contribution"))
         long = long.select(*keys, "horizon", "base", "margin", F.get(names, F.col("_f")).alias("feature"), "contribution")
         out = long if out is None else out.unionByName(long)
     if out is None:
@@ -150,13 +187,18 @@ def mean_contributions(explained_rows: DataFrame) -> DataFrame:
 
 def prefix_margins(values: Column, trees: Trees) -> Column:
     """The margin after each round, first to last; all from one walk of the trees."""
-    value = _constant([repr(float(n.value)) for n in trees.nodes], "double")
-
-    def summed(leaves: Column) -> Column:
-        return F.aggregate(leaves, F.array().cast("array<double>"), lambda sums, leaf: F.concat(
-            sums, F.array(F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0.0)) + leaf)))
-
-    return summed(F.transform(paths(values, trees), lambda p: F.get(value, F.element_at(p, -1))))
+    table, width, roots, depth = _table(trees), _width(trees), trees.roots, trees.depth
+
+    def summed(lists: pa.Array) -> pa.Array:
+        dense = _dense(lists, width)
+        sums, total = np.empty((len(dense), len(roots))), np.zeros(len(dense))
+        for i, root in enumerate(roots):
+            *_, leaf = _steps(dense, root, depth, table)
+            total += table["value"][leaf]
+            sums[:, i] = total
+        return _lists(sums)
+
+    return F.arrow_udf(summed, "array<double>")(values.cast("array<double>"))
 
 
 def round_quality(rows: DataFrame, values: Column, outcome: Column, trees: Trees, horizon: int) -> DataFrame:
