@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import session
 from tidemark.contract import ENTITY, OBSERVED, TIER_ACTIONS
-from tidemark.sources import readers, tables
+from tidemark.sources import given, readers, tables
 
 
 def test_namespace():
@@ -115,3 +115,19 @@ def test_tier_actions_reach_every_row(spark):
     out = with_actions(spark.createDataFrame([("a", t) for t in TIER_ACTIONS], "id string, risk_tier string"))
     assert {r["risk_tier"]: (r["recommended_action"], r["action_owner"], r["action_sla"])
             for r in out.collect()} == TIER_ACTIONS
+
+
+def test_usage_gets_tasks_by_its_lines(spark, tmp_path, monkeypatch):
+    """Lines of a task are bounded; keys may be null or repeat, and the rows stay the same."""
+    day = F.timestamp_add("DAY", F.col("id") % 40, F.lit("1996-01-01").cast("timestamp"))
+    key = F.when(F.col("id") % 11 > 0, F.col("id") % 300)
+    spark.range(2000).select(
+        key.alias("l_orderkey"), day.alias("l_shipdate"), (F.col("id") % 50).cast("double").alias("l_quantity"),
+        (F.col("id") * 1.5).alias("l_extendedprice")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(320).select((F.col("id") % 310).alias("o_orderkey"), F.when(F.col("id") % 7 > 0, F.col("id") % 9).alias(
+        "o_custkey")).write.parquet(f"{tmp_path}/orders.parquet")
+    few = given.raw_usage(spark, str(tmp_path))
+    monkeypatch.setattr(given, "LINES_IN_TASK", 100)
+    many = given.raw_usage(spark, str(tmp_path))
+    assert few.count() > 100 and few.exceptAll(many).count() == many.exceptAll(few).count() == 0
+    assert many.rdd.getNumPartitions() == 20

@@ -16,6 +16,8 @@ from tidemark.contract import ENTITY
 TRAIN_END = "1999-01-01"
 VALIDATION_END = "2000-07-01"
 
+LINES_IN_TASK = 1_000_000       # of the line items, in the joins and aggregates that take most memory
+
 
 _SCHEMAS: dict[str, StructType] = {}
 
@@ -67,11 +69,23 @@ def raw_customer_info(spark: SparkSession, folder: str) -> DataFrame:
                     "tenure_days"))
 
 
+def spread(df: DataFrame, parts: int, *keys: str | Column) -> DataFrame:
+    """Rows by key in ``parts`` tasks, where that is more than the cores; fewer are left to the session."""
+    return df.repartition(parts, *keys) if parts > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def raw_usage(spark: SparkSession, folder: str) -> DataFrame:
-    """Usage per customer and shipping day, numbers as text, some of it unreadable."""
-    lines = table(spark, folder, "lineitem").join(
-        table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    daily = (lines.groupBy("o_custkey", F.col("l_shipdate").cast("date").alias("d"))
+    """Usage per customer and shipping day, numbers as text, some of it unreadable.
+
+    Hardly two lines share a customer and day, so a task's aggregates grow with its lines: it gets
+    no more than ``LINES_IN_TASK`` of them on average, however large the table.
+    """
+    lineitem = table(spark, folder, "lineitem")
+    parts = -(-lineitem.count() // LINES_IN_TASK)
+    lines = spread(lineitem, parts, "l_orderkey").join(
+        spread(table(spark, folder, "orders"), parts, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    daily = (spread(lines.withColumn("d", F.col("l_shipdate").cast("date")), parts, "o_custkey", "d")
+             .groupBy("o_custkey", "d")
              .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("q"),
                   F.sum(F.floor("l_extendedprice")).cast("bigint").alias("x")))
     return daily.select(
