@@ -1,6 +1,7 @@
 """BPE against a public encoder, top-k against all products."""
 
 import random
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -127,3 +128,23 @@ def test_integer_vectors(spark):
     frame_ = spark.createDataFrame(rows, "i int, embedding array<float>")
     got = {r[0]: r[1] for r in frame_.select("i", topk.integer_vector("embedding")).collect()}
     assert got == {1: [512, int(np.floor(-0.0001 * 1024)), 1024], 2: None, 3: None, 4: None, 5: None, 6: []}
+
+
+def test_short_pre_tokens_merge_in_step_for_any_ranks(monkeypatch):
+    """Ranks in random order, so merges may make pairs that come first; none of these needs the queue."""
+    rng = random.Random(3)
+    tokens = {bytes(rng.choices(b"abc", k=n)) for n in range(2, 9) for _ in range(60)}
+    ranks = {bytes([b]): b for b in range(256)} | {
+        t: 256 + i for i, t in enumerate(rng.sample(sorted(tokens), len(tokens)))}
+
+    def plain(piece):
+        parts = [bytes([b]) for b in piece]
+        while pairs := [(ranks[a + b], i) for i, (a, b) in enumerate(pairwise(parts)) if a + b in ranks]:
+            i = min(pairs)[1]
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        return tuple(ranks[p] for p in parts)
+
+    merger = bpe.Merger(ranks)
+    monkeypatch.delattr(bpe.Merger, "_run")
+    pieces = [bytes(rng.choices(b"abcd", k=rng.randint(1, bpe.SHORT))) for _ in range(400)]
+    assert merger.merged(pieces) == [plain(p) for p in pieces]

@@ -5,6 +5,7 @@ ranks, with a bitmap of its non-empty words above it, gives the lowest rank in u
 find-first-set. Merging never searches: positions that a neighbour's merge made untrue are
 skipped when they come up. So a pre-token of n bytes costs n log n, however long it is. Many
 pre-tokens share one queue: they lie end to end, and no pair reaches across their bounds.
+Short pre-tokens, nearly all, need no queue: array steps make one merge of each.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from tidemark.llm.common import quoted, whole
 CACHE_ENTRIES = 400_000     # of pre-tokens, and of words; an emptied cache only costs time
 CACHE_CHARS = 64            # longer ones are worked out anew
 ID_BITS = 32
+NO_PAIR = np.iinfo(np.int32).max
+SHORT = 48                  # bytes of a pre-token merged in step with others; a longer one goes through the queue
 TOGETHER = 1 << 16          # bytes of pre-tokens merged in one queue, unless one alone has more
 TEXTS = 64                  # texts looked through before merging what is new in them
 FLUSH_TOKENS = 2_000_000    # tokens in an output batch, unless one text has more
@@ -85,6 +88,9 @@ class Merger:
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     self.pairs[left << ID_BITS | right] = rank
+        keys = np.fromiter(self.pairs, np.int64, len(self.pairs))
+        order = np.argsort(keys)
+        self.keys, self.found = keys[order], np.fromiter(self.pairs.values(), np.int32, len(self.pairs))[order]
 
     def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """The ids of each pre-token, none of them empty."""
@@ -92,6 +98,50 @@ class Merger:
 
     def packed(self, pieces: list[bytes]) -> list[bytes]:
         """The same as 32-bit numbers one after the other."""
+        if not self.keys.size:
+            return self._queued(pieces)
+        short, long = [p for p in pieces if len(p) <= SHORT], [p for p in pieces if len(p) > SHORT]
+        of_short, of_long = iter(self._in_step(short) if short else ()), iter(self._queued(long) if long else ())
+        return [next(of_short if len(p) <= SHORT else of_long) for p in pieces]
+
+    def _in_step(self, pieces: list[bytes]) -> list[bytes]:
+        """A merge of every pre-token at a time: the first of its lowest pairs, which holds for any ranks."""
+        data = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int32)
+        owner = np.repeat(np.arange(len(pieces)), np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        ids, rank = self.single[data], np.full(data.size, NO_PAIR, np.int32)
+        pairs = self.double[data[:-1] << 8 | data[1:]]
+        rank[:-1] = np.where((owner[1:] == owner[:-1]) & (pairs >= 0), pairs, NO_PAIR)
+        done_ids, done_owner = [], []
+        while ids.size:
+            first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            lowest = np.repeat(np.minimum.reduceat(rank, first), np.diff(first, append=ids.size))
+            going = lowest != NO_PAIR
+            if not going.all():
+                done_ids.append(ids[~going])
+                done_owner.append(owner[~going])
+                ids, owner, rank, lowest = ids[going], owner[going], rank[going], lowest[going]
+                if not ids.size:
+                    break
+            at = np.flatnonzero(rank == lowest)
+            at = at[np.concatenate([[True], owner[at[1:]] != owner[at[:-1]]])]
+            ids[at] = rank[at]
+            kept = np.ones(ids.size, bool)
+            kept[at + 1] = False
+            at -= np.arange(at.size)            # each merge before it took one place away
+            ids, owner, rank = ids[kept], owner[kept], rank[kept]
+            changed = np.concatenate([at, at[at > 0] - 1])
+            rank[changed] = NO_PAIR
+            changed = changed[changed + 1 < ids.size]
+            changed = changed[owner[changed] == owner[changed + 1]]
+            wanted = ids[changed].astype(np.int64) << ID_BITS | ids[changed + 1]
+            place = np.minimum(np.searchsorted(self.keys, wanted), self.keys.size - 1)
+            rank[changed] = np.where(self.keys[place] == wanted, self.found[place], NO_PAIR)
+        owner, ids = np.concatenate(done_owner), np.concatenate(done_ids)
+        packed = ids[np.argsort(owner, kind="stable")].tobytes()
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(pieces)))).tolist()
+        return [packed[low:high] for low, high in zip([0, *ends], ends, strict=False)]
+
+    def _queued(self, pieces: list[bytes]) -> list[bytes]:
         data = b"".join(pieces)
         n = len(data)
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
