@@ -1,6 +1,8 @@
 """Toxicity and quality: held-out accuracy, gradients, whole texts, odd rows."""
 
+import gc
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -107,6 +109,39 @@ def test_every_word_is_in_a_window():
                                         and (np.diff(starts) < toxicity.WINDOW).all())
 
 
+def test_a_lexicon_leaves_no_words_behind(monkeypatch):
+    """Words numbered before a reset, and by lexicons of earlier tasks, go without the garbage collector."""
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 100)
+    network = toxicity.Network([], seed=1)
+    gc.collect()
+    gc.disable()
+    tracemalloc.start()
+    try:
+        for task in range(5):
+            lexicon = toxicity.Lexicon(network)
+            for turn in range(5):
+                lexicon.windows([" ".join(f"w{task}x{turn}x{i}" for i in range(2000))])
+            del lexicon
+        assert tracemalloc.get_traced_memory()[0] < 500_000
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+
+
+def test_a_table_that_grows_is_the_table_of_all_words(monkeypatch):
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 5000)
+    network = toxicity.Network(["w1", "w3000"], seed=1)
+    network.words[1:] = 0.5
+    network.grams[:] = np.random.default_rng(2).standard_normal(network.grams.shape)
+    lexicon = toxicity.Lexicon(network)
+    for low, high in ((0, 10), (0, 10), (5, 3000), (2000, 4900), (4000, 7000), (0, 40), (100, 9000)):
+        lexicon.windows(["", " ".join(f"w{i}" for i in range(low, high))])
+        table, words = lexicon.table_now(), list(lexicon.number)
+        vectors = np.concatenate([np.zeros((1, 2 * toxicity.PART), np.float32), network.vectors(words[1:])])
+        assert table.shape[1] == len(words)
+        assert np.allclose(table, network.projected(vectors), atol=1e-5)
+
+
 def test_gradients_against_differences():
     rng = np.random.default_rng(0)
     network = toxicity.Network([], seed=1)

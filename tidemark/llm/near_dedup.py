@@ -32,7 +32,7 @@ ROWS = 2                    # minhashes of one hash of a collection
 MISS = 1e-4                 # chance, at most, that a pair just at the threshold shares no key
 BLOCK = 256                 # members of a block
 FAIR = 30                   # percent shared with a lead from which the difference is kept
-CACHE_WORDS = 300_000
+CACHE_WORDS = 60_000        # a larger cache costs every worker memory and saves no time
 SEED = 20_011
 
 

@@ -10,8 +10,9 @@ documents are labelled, so each step learns from the window that now scores high
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -177,18 +178,25 @@ class Network:
         return grow, np.matmul(on_x, d["input"].transpose(0, 2, 1)).sum(axis=0)
 
 
+class _Numbers(dict):
+    """Of words, as they come. Without a reference to itself, so that it goes when its last user does."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = at = len(self)
+        return at
+
+
 class Lexicon:
     """Numbers words as they come, 0 being padding, and keeps what the network adds for each."""
 
     def __init__(self, network: Network):
         self.network = network
+        self.room = np.empty((2, 1024, 3 * HIDDEN), np.float32)
         self.reset()
 
     def reset(self) -> None:
-        self.number: defaultdict[str, int] = defaultdict()
-        self.number.default_factory = self.number.__len__
-        self.number[""] = 0
-        self.table = self.network.projected(np.zeros((1, 2 * PART), np.float32))
+        self.number = _Numbers({"": 0})
+        self.known = 0
 
     def windows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Window word numbers and, for each window, the index of its text."""
@@ -209,12 +217,22 @@ class Lexicon:
         return ids, owner
 
     def table_now(self) -> np.ndarray:
-        known = self.table.shape[1]
-        if len(self.number) > known:
-            new = list(self.number)[known:]
-            self.table = np.concatenate(
-                [self.table, self.network.projected(self.network.vectors(new))], axis=1)
-        return self.table
+        """Of the words so far. New ones go into the room that is left, which doubles when it is
+        full: a copy of the table for every few texts would leave the worker's memory in pieces."""
+        known, now = self.known, len(self.number)
+        if now > self.room.shape[1]:
+            room = np.empty((2, max(now, 2 * self.room.shape[1]), 3 * HIDDEN), np.float32)
+            room[:, :known] = self.room[:, :known]
+            self.room = room
+        if now > known:
+            new = list(islice(self.number, known, None))
+            if not known:
+                self.room[:, :1] = self.network.projected(np.zeros((1, 2 * PART), np.float32))
+                known, new = 1, new[1:]
+            if new:
+                self.room[:, known:now] = self.network.projected(self.network.vectors(new))
+            self.known = now
+        return self.room[:, :now]
 
 
 class _Adam:
