@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark import session
 from tidemark.contract import ENTITY, OBSERVED, TIER_ACTIONS
+from tidemark.operators import rollup
 from tidemark.sources import given, readers, tables
+from tidemark.workload import inputs
 
 
 def test_namespace():
@@ -131,3 +133,28 @@ def test_usage_gets_tasks_by_its_lines(spark, tmp_path, monkeypatch):
     many = given.raw_usage(spark, str(tmp_path))
     assert few.count() > 100 and few.exceptAll(many).count() == many.exceptAll(few).count() == 0
     assert many.rdd.getNumPartitions() == 20
+
+
+def test_months_and_their_join_get_tasks_by_lines(spark, tmp_path, monkeypatch):
+    """However few partitions the session shuffles to; the rows stay the same."""
+    day = F.timestamp_add("DAY", F.col("id") % 75, F.lit("1996-01-01").cast("timestamp"))
+    spark.range(2000).select(
+        (F.col("id") % 300).alias("l_orderkey"), F.when(F.col("id") % 13 > 0, day).alias("l_shipdate"),
+        (F.col("id") % 50).cast("double").alias("l_quantity"),
+        (F.col("id") * 1.5).alias("l_extendedprice")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(320).select(
+        (F.col("id") % 310).alias("o_orderkey"), F.when(F.col("id") % 7 > 0, F.col("id") % 9).alias("o_custkey"),
+        F.lit("1996-02-10").cast("timestamp").alias("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+
+    def joined():
+        monthly = inputs.usage_monthly(spark, str(tmp_path))
+        return monthly, rollup.join_month(inputs.spine(spark, str(tmp_path)), monthly, ["monthly_total_mb"])
+
+    few = joined()
+    monkeypatch.setattr(given, "LINES_IN_TASK", 100)
+    many = joined()
+    assert many[0].rdd.getNumPartitions() == 20
+    assert few[1].count() >= 9
+    for one, other in zip(few, many, strict=True):
+        one, other = (x.select(*[F.round(c, 6) if t == "double" else F.col(c) for c, t in x.dtypes]) for x in (one, other))
+        assert one.exceptAll(other).count() == other.exceptAll(one).count() == 0

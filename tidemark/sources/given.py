@@ -74,15 +74,19 @@ def spread(df: DataFrame, parts: int, *keys: str | Column) -> DataFrame:
     return df.repartition(parts, *keys) if parts > df.sparkSession.sparkContext.defaultParallelism else df
 
 
+def usage_tasks(spark: SparkSession, folder: str) -> int:
+    """How many tasks the usage takes at ``LINES_IN_TASK`` each."""
+    return -(-table(spark, folder, "lineitem").count() // LINES_IN_TASK)
+
+
 def raw_usage(spark: SparkSession, folder: str) -> DataFrame:
     """Usage per customer and shipping day, numbers as text, some of it unreadable.
 
     Hardly two lines share a customer and day, so a task's aggregates grow with its lines: it gets
     no more than ``LINES_IN_TASK`` of them on average, however large the table.
     """
-    lineitem = table(spark, folder, "lineitem")
-    parts = -(-lineitem.count() // LINES_IN_TASK)
-    lines = spread(lineitem, parts, "l_orderkey").join(
+    parts = usage_tasks(spark, folder)
+    lines = spread(table(spark, folder, "lineitem"), parts, "l_orderkey").join(
         spread(table(spark, folder, "orders"), parts, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     daily = (spread(lines.withColumn("d", F.col("l_shipdate").cast("date")), parts, "o_custkey", "d")
              .groupBy("o_custkey", "d")

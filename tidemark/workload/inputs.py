@@ -23,7 +23,9 @@ def usage_daily(spark, d) -> DataFrame:
 
 
 def usage_monthly(spark, d) -> DataFrame:
-    return monthly_rollup(usage_daily(spark, d))
+    """Most months of a customer hold few days, so months too are made in tasks of bounded numbers
+    of lines; a join by customer and month takes over these tasks."""
+    return monthly_rollup(given.spread(usage_daily(spark, d), given.usage_tasks(spark, d), ENTITY, "month_key"))
 
 
 def calls(spark, d) -> DataFrame:
