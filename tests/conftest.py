@@ -2,6 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -21,6 +22,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_cached_for_others():
+    """What a module's tests have cached does not count in the next module."""
+    yield
+    if (session := SparkSession.getActiveSession()) is not None:
+        session.catalog.clearCache()
+
+
 SMALL = "/root/testdata/sf0.001"
 
 

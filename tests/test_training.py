@@ -1,5 +1,7 @@
 """Models on a seeded synthetic feature table: fit, judge, save, reload, importance."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +71,43 @@ def test_every_fit_reads_rows_that_are_prepared_once(table, monkeypatch):
     assert table.sparkSession._jsparkSession.sharedState().cacheManager().isEmpty()
 
 
+@pytest.mark.parametrize("room, together", [(0, 1), (1 << 40, 3)])
+def test_fits_run_side_by_side_only_where_their_rows_have_room(table, monkeypatch, room, together):
+    lock, met, running, most, kept = threading.Lock(), threading.Barrier(3), [], [], []
+
+    def looked_at(self, rows):
+        kept.append(rows._jdf.queryExecution().withCachedData().toString())
+        with lock:
+            running.append(self)
+            most.append(len(running))
+        if room:
+            met.wait(60)
+        with lock:
+            running.remove(self)
+        raise LookupError
+
+    monkeypatch.setattr(training.GBTClassifier, "fit", looked_at)
+    monkeypatch.setattr(training, "storage_bytes", lambda spark: room)
+    with pytest.raises(LookupError):
+        training.fit_horizons(table, rounds=1, settings={"maxDepth": 1})
+    assert max(most) == together
+    # the prepared rows leave the memory to the fits
+    assert all("StorageLevel(disk, 1 replicas)" in plan for plan in kept)
+
+
+def test_room_for_fits():
+    row = training.ROW_BYTES + 4 * 32
+    assert training.fits_at_once(1000, 32, 3, 3 * 1000 * row) == 3
+    assert training.fits_at_once(1000, 32, 3, 3 * 1000 * row - 1) == 2
+    assert training.fits_at_once(1000, 32, 3, 1000 * row // 9) == 1
+    assert training.fits_at_once(0, 32, 3, 1 << 20) == 3
+
+
+def test_room_is_what_executors_report(spark):
+    heap = spark._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    assert .3 * heap < training.storage_bytes(spark) < .7 * heap
+
+
 def test_rows_are_prepared_once_for_all_horizons(table, models, tmp_path, monkeypatch):
     prepare, calls = training.prepared, []
     monkeypatch.setattr(training, "prepared", lambda *given: calls.append(given) or prepare(*given))
